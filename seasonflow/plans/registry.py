@@ -58,6 +58,16 @@ FROM sellout
 WHERE TRY_CAST(substring(yearweek, 5, 2) AS INTEGER) <= 52
 """
 
+# Parameter table: one VALID_PRODUCT row per part type (PROMO and SMALL active),
+# plus the VALID_WEEK / VALID_YEAR scalars.
+PARAMS_SQL = """
+SELECT 'COMMON' AS param_category, 'VALID_PRODUCT' AS param_name, p_type AS param_value,
+       CASE WHEN p_type IN ('PROMO', 'SMALL') THEN 'Y' ELSE 'N' END AS use_yn
+FROM (SELECT DISTINCT p_type FROM part)
+UNION ALL SELECT 'COMMON', 'VALID_WEEK', '53', 'Y'
+UNION ALL SELECT 'COMMON', 'VALID_YEAR', '2000', 'Y'
+"""
+
 
 def with_sellout(body: str, clean: bool = False) -> str:
     """Prefix ``body`` with the ``sellout`` (and optionally ``clean``) CTEs."""
