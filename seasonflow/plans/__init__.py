@@ -1,6 +1,6 @@
 """Query catalogue: importing this package registers every query."""
 
-from . import groups, season, shaping  # noqa: F401
+from . import groups, ordering, scalars, season, shaping  # noqa: F401
 from .registry import HEADLINE, ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE", "HEADLINE"]
