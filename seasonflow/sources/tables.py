@@ -42,13 +42,12 @@ def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "c_nationkey", "inner").select("c_custkey", "r_name")
 
 
-def sellout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly sell-out: one row per (regionid, product, yearweek), ``qty`` a double.
+def _weekly_lines(spark: SparkSession, sf_dir: str, *line_columns: str) -> DataFrame:
+    """Line items tagged with (regionid, product, yearweek).
 
     Join order is chosen for the large-scale case: orders are reduced to
     ``orderkey -> (region, yearweek)`` first (an orders-sized shuffle), lineitem is
-    projected to three columns before it meets orders and part, and the final
-    aggregation is partial (map-side) before its shuffle.
+    projected to the few columns needed before it meets orders and part.
     """
     orders = (
         table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
@@ -58,15 +57,28 @@ def sellout(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("r_name").alias("regionid"),
                 iso_yearweek("o_orderdate").alias("yearweek"))
     )
-    items = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
-    parts = table(spark, sf_dir, "part", "p_partkey", "p_type").withColumnRenamed(
-        "p_partkey", "l_partkey")
-    return (
-        items.join(orders, "l_orderkey")
-        .join(parts, "l_partkey")
-        .groupBy("regionid", F.col("p_type").alias("product"), "yearweek")
-        .agg(F.sum("l_quantity").alias("qty"))
-    )
+    items = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", *line_columns)
+    parts = table(spark, sf_dir, "part", "p_partkey", "p_type").select(
+        F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
+    return items.join(orders, "l_orderkey").join(parts, "l_partkey")
+
+
+def sellout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly sell-out: one row per (regionid, product, yearweek), ``qty`` a double.
+
+    The aggregation is partial (map-side) before its shuffle, so a hot
+    (region, product, week) group is pre-summed in every task.
+    """
+    return (_weekly_lines(spark, sf_dir, "l_quantity")
+            .groupBy("regionid", "product", "yearweek")
+            .agg(F.sum("l_quantity").alias("qty")))
+
+
+def weekly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sell-out plus ``pro_percent`` (mean line discount), the forecast input's shape."""
+    return (_weekly_lines(spark, sf_dir, "l_quantity", "l_discount")
+            .groupBy("regionid", "product", "yearweek")
+            .agg(F.sum("l_quantity").alias("qty"), F.avg("l_discount").alias("pro_percent")))
 
 
 def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
