@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import cap, drop_late_weeks
+from ..operators.joins import materialize
 from ..sources.tables import sellout, table
 from . import params as P
 
 
-def clean_sellout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sell-out with weeks <= 52 and quantities capped (the reference's ``mapRdd``)."""
-    return cap(drop_late_weeks(sellout(spark, sf_dir)), P.CAP)
+def clean_sellout(spark: SparkSession, sf_dir: str, materialized: bool = False) -> DataFrame:
+    """Sell-out with weeks <= 52 and quantities capped (the reference's ``mapRdd``).
+
+    ``materialized`` checkpoints the (aggregated, hence small) sell-out first, for
+    queries that read it more than once: the lineitem joins then run once.
+    """
+    base = sellout(spark, sf_dir)
+    if materialized:
+        base = materialize(base)
+    return cap(drop_late_weeks(base), P.CAP)
 
 
 PARAMETER_SCHEMA = "param_category string, param_name string, param_value string, use_yn string"

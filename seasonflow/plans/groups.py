@@ -16,8 +16,8 @@ _KEY_SQL = "regionid || '_' || product"
 _DISP_SQL = "sqrt(var_pop(qty) * count(qty) / nullif(avg(qty), 0))"
 
 
-def _keyed(spark, sf_dir):
-    return clean_sellout(spark, sf_dir)
+def _keyed(spark, sf_dir, materialized=False):
+    return clean_sellout(spark, sf_dir, materialized)
 
 
 @query("agg_count", oracle=with_sellout("SELECT count(*) AS n FROM clean", clean=True))
@@ -82,7 +82,7 @@ FROM clean
 """, clean=True))
 def win_group_mean(spark, sf_dir):
     """WIN-1: every row with its key's mean."""
-    s = G.stretch_stats(_keyed(spark, sf_dir), KEYS, stats=("average",))
+    s = G.stretch_stats(_keyed(spark, sf_dir, True), KEYS, stats=("average",))
     return s.select(G.key_column().alias("keycol"), F.col("regionid").alias("accountid"),
                     "product", "yearweek", "qty", report("average").alias("average"))
 
@@ -96,7 +96,7 @@ FROM clean JOIN g USING (regionid, product)
 """, clean=True))
 def win_group_dispersion(spark, sf_dir):
     """WIN-2: every row with its key's size, mean and dispersion."""
-    s = G.stretch_stats(_keyed(spark, sf_dir), KEYS, stats=("size", "average", "dispersion"))
+    s = G.stretch_stats(_keyed(spark, sf_dir, True), KEYS, stats=("size", "average", "dispersion"))
     return s.select(G.key_column().alias("keycol"), "yearweek", "qty", "size",
                     report("average").alias("average"), report("dispersion").alias("dispersion"))
 
@@ -110,7 +110,7 @@ FROM clean JOIN g USING (regionid, product)
 """, clean=True))
 def win_ratio_to_mean(spark, sf_dir):
     """WIN-3: every row with size, mean, sample stddev and its ratio to the mean."""
-    s = G.ratio_to_mean(_keyed(spark, sf_dir), KEYS)
+    s = G.ratio_to_mean(_keyed(spark, sf_dir, True), KEYS)
     return s.select(G.key_column().alias("keycol"), "yearweek", "qty", "size",
                     report("average").alias("average"), report("stddev").alias("stddev"),
                     report("ratio").alias("ratio"))

@@ -8,6 +8,7 @@ from ..functions import arrays as A
 from ..functions.rounding import report, round_half_up
 from ..functions.yearweek import week_of, week_text, year_of, yearweek_int
 from ..operators.groupstats import key_column
+from ..operators.joins import materialize
 from ..operators.reshape import shares_with_residual
 from ..operators.seasonality import series
 from ..sources.tables import sellout
@@ -114,7 +115,7 @@ FROM s JOIN f USING (regionid)
 """))
 def fn_share_residual(spark, sf_dir):
     """FN-12: product shares of each region's volume, summing to exactly 100."""
-    t = sellout(spark, sf_dir).groupBy(*KEYS).agg(F.sum("qty").alias("qty"))
+    t = materialize(sellout(spark, sf_dir).groupBy(*KEYS).agg(F.sum("qty").alias("qty")))
     s = shares_with_residual(t, "regionid", "product", "qty")
     return s.select("regionid", "product", "qty", report("share").alias("share"))
 

@@ -27,6 +27,10 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast decisions on measured sizes only: no estimate-based static
+        # broadcast; AQE converts a join at run time from actual shuffle sizes.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -38,6 +42,20 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
+def recommended_conf(shuffle_partitions: int = 2000) -> dict[str, str]:
+    """Settings this library is designed for on a cluster (the caller owns the session)."""
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, configuring the SparkContext if needed.
 

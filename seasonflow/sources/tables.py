@@ -31,15 +31,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``c_custkey -> r_name``; nation and region are size-checked broadcasts."""
-    geo = lookup_join(
-        table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"),
-        table(spark, sf_dir, "region", "r_regionkey", "r_name")
-        .withColumnRenamed("r_regionkey", "n_regionkey"),
-        "n_regionkey", "inner")
+    """``c_custkey -> r_name``.
+
+    nation x region is joined first; its measured size decides whether it is
+    broadcast to the customer scan (one size check for both small tables).
+    """
+    geo = (table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+           .join(table(spark, sf_dir, "region", "r_regionkey", "r_name"),
+                 F.col("n_regionkey") == F.col("r_regionkey"))
+           .select(F.col("n_nationkey").alias("c_nationkey"), "r_name"))
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    return lookup_join(cust, geo.withColumnRenamed("n_nationkey", "c_nationkey"),
-                       "c_nationkey", "inner").select("c_custkey", "r_name")
+    return lookup_join(cust, geo, "c_nationkey", "inner").select("c_custkey", "r_name")
 
 
 def _weekly_lines(spark: SparkSession, sf_dir: str, *line_columns: str) -> DataFrame:
