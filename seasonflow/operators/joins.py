@@ -21,6 +21,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> boo
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def bounded_counts(*dfs: DataFrame, bound: int = DEFAULT_BROADCAST_ROWS) -> list[int]:
+    """Row counts of several (small) frames in one job, each capped at ``bound + 1``.
+
+    A count above ``bound`` means "too large"; only a two-column tally per frame
+    reaches the driver.
+    """
+    tagged = None
+    for i, df in enumerate(dfs):
+        part = df.limit(bound + 1).select(F.lit(i).alias("_frame"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    got = {r["_frame"]: r["n"] for r in tagged.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [int(got.get(i, 0)) for i in range(len(dfs))]
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a derived (small) side to the shared checkpoint folder and cut its lineage.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.yearweek import iso_yearweek
-from ..operators.joins import lookup_join
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, bounded_counts
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -21,27 +21,51 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 SELLOUT_COLUMNS = ("regionid", "product", "yearweek", "qty")
 
+# Declared schemas of the star-schema tables: reads skip footer-based inference and a
+# file with a drifted schema fails instead of silently changing types.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one parquet table; ``columns`` prunes the scan's ReadSchema."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    reader = spark.read
+    if name in SCHEMAS:
+        reader = reader.schema(SCHEMAS[name])
+    df = reader.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return df.select(*columns) if columns else df
 
 
 def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``c_custkey -> r_name``.
 
-    nation x region is joined first; its measured size decides whether it is
-    broadcast to the customer scan (one size check for both small tables).
+    nation and region are counted in one job; when ``|nation| x |region|`` (an upper
+    bound of their join) is within the broadcast bound, both joins broadcast and the
+    customer scan is never shuffled. Otherwise the planner chooses.
     """
-    geo = (table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-           .join(table(spark, sf_dir, "region", "r_regionkey", "r_name"),
-                 F.col("n_regionkey") == F.col("r_regionkey"))
+    nation = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
+    region = table(spark, sf_dir, "region", "r_regionkey", "r_name")
+    n_nation, n_region = bounded_counts(nation, region)
+    small = n_nation * n_region <= DEFAULT_BROADCAST_ROWS
+    geo = (nation.join(F.broadcast(region) if small else region,
+                       F.col("n_regionkey") == F.col("r_regionkey"))
            .select(F.col("n_nationkey").alias("c_nationkey"), "r_name"))
     cust = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
-    return lookup_join(cust, geo, "c_nationkey", "inner").select("c_custkey", "r_name")
+    return cust.join(F.broadcast(geo) if small else geo, "c_nationkey").select("c_custkey", "r_name")
 
 
 def _weekly_lines(spark: SparkSession, sf_dir: str, *line_columns: str) -> DataFrame:
