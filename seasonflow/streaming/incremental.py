@@ -1,0 +1,60 @@
+"""The batch cleaning operators applied to a streaming source.
+
+The reference has no streaming code; this module adds no new operator. It only shows
+that the stateless cleaning steps (FLT-1/2/3, PRJ-11) and the per-week totals that
+feed the seasonality job run unchanged on a Structured Streaming DataFrame, e.g.
+new sell-out files landing in a folder. The per-week total is a streaming
+aggregation (state keyed by region, product and yearweek, bounded by the calendar);
+the window-based moving average needs whole series and stays a batch job over the
+accumulated table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions.schemas import SELLOUT_SCHEMA
+from ..operators.cleaning import cap, drop_late_weeks, in_set, valid_yearweek
+
+
+def read_sellout_stream(spark: SparkSession, path: str, fmt: str = "parquet",
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """A file-source stream of sell-out rows with the declared schema."""
+    reader = spark.readStream.schema(SELLOUT_SCHEMA).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
+
+
+def clean_stream(df: DataFrame, cap_value: float, products=None) -> DataFrame:
+    """Stateless cleaning: well-formed yearweek, week <= 52, optional product set, cap."""
+    out = drop_late_weeks(valid_yearweek(df))
+    if products is not None:
+        out = in_set(out, products)
+    return cap(out, cap_value)
+
+
+def weekly_totals(df: DataFrame) -> DataFrame:
+    """Per (region, product, yearweek) running totals (emit with outputMode update)."""
+    return df.groupBy("regionid", "product", "yearweek").agg(
+        F.sum("qty").alias("qty"), F.count(F.lit(1)).alias("rows"))
+
+
+def start_weekly_totals(df: DataFrame, checkpoint: str, sink: str, name: str | None = None,
+                        available_now: bool = True, **sink_options) -> StreamingQuery:
+    """Start the totals query with its state checkpoint in a shared folder.
+
+    The checkpoint makes the query restartable after a failure (state and source
+    offsets are recovered from it).
+    """
+    w = (weekly_totals(df).writeStream.outputMode("update").format(sink)
+         .option("checkpointLocation", checkpoint))
+    for k, v in sink_options.items():
+        w = w.option(k, v)
+    if name:
+        w = w.queryName(name)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    return w.start()
