@@ -16,7 +16,8 @@ _FEATURES_SQL = f"""
 WITH feat AS (
   SELECT r_name AS regionid, p_type AS product,
          CAST(isoyear(o_orderdate) * 100 + week(o_orderdate) AS VARCHAR) AS yearweek,
-         sum(l_quantity) AS qty, avg(l_discount) AS pro_percent
+         sum(l_quantity) AS qty,
+         sum(CAST(round(l_discount * 100) AS BIGINT)) / count(l_discount) / 100.0 AS pro_percent
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
@@ -27,7 +28,7 @@ WITH feat AS (
 inp AS (
   SELECT regionid, product, yearweek,
          CAST(TRY_CAST(substring(yearweek, 5, 2) AS INTEGER) AS DOUBLE) AS week,
-         qty, round(pro_percent, 6) AS pro_percent,
+         qty, pro_percent,
          CASE WHEN product = 'PROMO' THEN 1 ELSE 0 END AS promotioncode,
          CASE WHEN TRY_CAST(substring(yearweek, 5, 2) AS INTEGER) IN (1, 51, 52) THEN 1 ELSE 0 END AS holidaycode
   FROM feat WHERE yearweek BETWEEN '{P.YEARWEEK_FROM}' AND '{P.YEARWEEK_TO}')
@@ -35,8 +36,7 @@ inp AS (
 
 
 def _input(spark, sf_dir):
-    inp = M.model_input(weekly_features(spark, sf_dir), P.YEARWEEK_FROM, P.YEARWEEK_TO)
-    return inp.withColumn("pro_percent", report("pro_percent"))
+    return M.model_input(weekly_features(spark, sf_dir), P.YEARWEEK_FROM, P.YEARWEEK_TO)
 
 
 @query("ml_input", oracle=_FEATURES_SQL + "SELECT * FROM inp")

@@ -101,10 +101,16 @@ def sellout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sell-out plus ``pro_percent`` (mean line discount), the forecast input's shape."""
+    """Sell-out plus ``pro_percent`` (mean line discount), the forecast input's shape.
+
+    Discounts are whole percents; the mean is taken over integer cents (an exact sum
+    in any order) and divided once, so the value does not depend on summation order.
+    """
+    cents = F.round(F.col("l_discount") * 100).cast("bigint")
     return (_weekly_lines(spark, sf_dir, "l_quantity", "l_discount")
             .groupBy("regionid", "product", "yearweek")
-            .agg(F.sum("l_quantity").alias("qty"), F.avg("l_discount").alias("pro_percent")))
+            .agg(F.sum("l_quantity").alias("qty"),
+                 (F.sum(cents) / F.count(cents) / 100.0).alias("pro_percent")))
 
 
 def product_master(spark: SparkSession, sf_dir: str) -> DataFrame:
