@@ -41,6 +41,16 @@ def reduce_sum(arr) -> Column:
     return F.aggregate(as_col(arr), F.lit(0.0), lambda a, b: a + b)
 
 
+def fold(arr, zero, op) -> Column:
+    """AGG-14: fold with any binary operator, e.g. ``fold(a, F.lit(1.0), lambda x, y: x * y)``."""
+    return F.aggregate(as_col(arr), zero, op)
+
+
+def reduce_product(arr) -> Column:
+    """AGG-14: ``reduce(_ * _)`` (the reference's note: use reduce for ``*`` and ``/``)."""
+    return fold(arr, F.lit(1.0), lambda a, b: a * b)
+
+
 def reduce_max(arr) -> Column:
     """AGG-14 with another operator: ``reduce(max)``; NULL for an empty array."""
     a = as_col(arr)

@@ -52,7 +52,7 @@ def regressor(kind: str, label: str = "qty", features: str = "features", seed: i
     raise ValueError(f"unknown model {kind!r}; choose from {MODELS}")
 
 
-def pipeline(kind: str, features=FEATURES, label: str = "qty", seed: int = DEFAULT_SEED,
+def estimator(kind: str, features=FEATURES, label: str = "qty", seed: int = DEFAULT_SEED,
              handle_invalid: str = "error") -> Pipeline:
     """ML-3/7: assembler + regressor. ``handle_invalid`` is VectorAssembler's policy."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features",
@@ -61,7 +61,7 @@ def pipeline(kind: str, features=FEATURES, label: str = "qty", seed: int = DEFAU
 
 
 def fit(train: DataFrame, kind: str, **kw) -> PipelineModel:
-    return pipeline(kind, **kw).fit(train)
+    return estimator(kind, **kw).fit(train)
 
 
 def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -77,6 +77,17 @@ def error_metrics(pred: DataFrame, label: str = "qty", prediction: str = "predic
                     F.avg(F.abs(err)).alias("mae"))
 
 
+def actual_vs_predicted(pred: DataFrame, ids=("regionid", "product", "yearweek"),
+                        label: str = "qty", prediction: str = "prediction") -> DataFrame:
+    """ML-11 / SET-2: long table (MEASURE, ids..., SALES) with the reference's
+    upper-case measure labels and column names, ready for a writer (SNK-1)."""
+    from .reshape import measures_unpivot
+
+    upper = [F.col(c).alias(c.upper()) for c in ids]
+    wide = pred.select(*upper, F.col(label).alias("_real"), F.col(prediction).alias("_pred"))
+    return measures_unpivot(wide, [c.upper() for c in ids], "_real", "_pred")
+
+
 def tree_description(model: PipelineModel) -> str:
     """ML-10: the fitted tree's debug string."""
     return model.stages[-1].toDebugString

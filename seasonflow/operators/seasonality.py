@@ -125,7 +125,7 @@ def seasonality_index(df: DataFrame, keys=SERIES_KEYS, yearweek: str = "yearweek
     )
 
 
-def seasonality_pipeline(sellout: DataFrame, order: int = REFERENCE_ORDER, cap_value: float | None = None,
+def seasonal_rows(sellout: DataFrame, order: int = REFERENCE_ORDER, cap_value: float | None = None,
                          products=None, max_week: int = 52, keys=SERIES_KEYS,
                          short_series: str = "error") -> DataFrame:
     """The flagship job: clean -> series -> moving average -> ratio (row level)."""

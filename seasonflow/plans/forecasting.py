@@ -66,7 +66,7 @@ FROM m
 """, clean=True))
 def ml_metrics(spark, sf_dir):
     """ML-8: RMSE / MAE of the moving average as a deterministic prediction."""
-    r = S.seasonality_pipeline(sellout(spark, sf_dir), order=P.ORDER, cap_value=P.CAP)
+    r = S.seasonal_rows(sellout(spark, sf_dir), order=P.ORDER, cap_value=P.CAP)
     m = M.error_metrics(r, "qty", "ma")
     return m.select("n", report("rmse").alias("rmse"), report("mae").alias("mae"))
 
@@ -95,6 +95,12 @@ def ml_rf(spark, sf_dir):
     return _predictions(spark, sf_dir, "random_forest")
 
 
+@query("ml_dt_long")
+def ml_dt_long(spark, sf_dir):
+    """ML-11: decision-tree actual vs predicted as the reference's long table."""
+    return M.actual_vs_predicted(_predictions(spark, sf_dir, "decision_tree"))
+
+
 @query("ml_compare")
 def ml_compare(spark, sf_dir):
     """ML-9: RMSE and MAE of the three models on the same split."""

@@ -25,7 +25,7 @@ def srt_topk(spark, sf_dir):
     return R.top_k(sellout(spark, sf_dir), P.TOP_K, "qty", ["regionid", "product", "yearweek"])
 
 def _actual_vs_ma(spark, sf_dir):
-    return S.seasonality_pipeline(sellout(spark, sf_dir), order=P.ORDER, cap_value=P.CAP).select(
+    return S.seasonal_rows(sellout(spark, sf_dir), order=P.ORDER, cap_value=P.CAP).select(
         "regionid", "product", "yearweek", "qty", report("ma").alias("ma"))
 
 _LONG_SQL = """

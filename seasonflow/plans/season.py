@@ -17,7 +17,7 @@ _W = f"PARTITION BY regionid, product {_ORDER_BY}"
 
 
 def _ratio_rows(spark, sf_dir):
-    return S.seasonality_pipeline(sellout(spark, sf_dir), order=P.ORDER, cap_value=P.CAP)
+    return S.seasonal_rows(sellout(spark, sf_dir), order=P.ORDER, cap_value=P.CAP)
 
 
 _RATIO_SQL = f"""

@@ -192,3 +192,6 @@ def test_arrays_literal_fixtures(spark):
     assert r["e"] == [22, 33, 100, 90]
     assert r["c"] == "2233507090100" and r["has"] is True
     assert r["js"] == ["22", "33", "50", "70", "90", "100"]
+    p = df.select(A.reduce_product(F.slice("prices", 1, 2)).alias("p"),
+                  A.fold("ints", F.lit(0), lambda a, b: a - b).alias("m")).first()
+    assert p["p"] == 1200000.0 and p["m"] == -365

@@ -48,3 +48,19 @@ def test_compare_has_three_models(spark, split):
     train, test = split
     rows = M.compare(train, test).collect()
     assert sorted(r["model"] for r in rows) == sorted(M.MODELS)
+
+
+def test_long_table_written_over_jdbc(spark, split):
+    import uuid
+
+    from seasonflow.sources import readers, writers
+
+    train, test = split
+    long = M.actual_vs_predicted(M.predict(M.fit(train, "decision_tree"), test))
+    assert long.columns == ["MEASURE", "REGIONID", "PRODUCT", "YEARWEEK", "SALES"]
+    url = f"jdbc:derby:memory:ml{uuid.uuid4().hex[:8]};create=true"
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    writers.write_jdbc(long, url, "DT_RESULT_FINAL", driver=driver)
+    back = readers.read_jdbc(spark, url, "DT_RESULT_FINAL", driver=driver)
+    counts = {r["MEASURE"]: r["n"] for r in back.groupBy("MEASURE").count().withColumnRenamed("count", "n").collect()}
+    assert counts == {"REAL-QTY": test.count(), "PREDICTION-QTY": test.count()}
