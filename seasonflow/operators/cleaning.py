@@ -20,9 +20,14 @@ REFERENCE_CAP = 700000
 
 
 def capped(qty, cap: float) -> Column:
-    """PRJ-11: ``qty > cap -> cap``. NULL stays NULL (``least`` would turn it into cap)."""
-    c = as_col(qty)
-    return F.when(c > F.lit(cap), F.lit(float(cap))).otherwise(c.cast("double"))
+    """PRJ-11: ``qty > cap -> cap``.
+
+    NULL stays NULL (``least`` would turn it into the cap). NaN stays NaN as in the
+    reference's JVM comparison (Spark SQL orders NaN above every number, so a plain
+    ``qty > cap`` would replace it).
+    """
+    c = as_col(qty).cast("double")
+    return F.when(~F.isnan(c) & (c > F.lit(cap)), F.lit(float(cap))).otherwise(c)
 
 
 def cap(df: DataFrame, cap_value: float, qty: str = "qty") -> DataFrame:

@@ -53,7 +53,7 @@ GROUP BY 1, 2, 3
 # Cleaned fact used by most reference jobs: weeks <= 52, quantity capped.
 CLEAN_SQL = """
 SELECT regionid, product, yearweek,
-       CASE WHEN qty > 300 THEN 300.0 ELSE qty END AS qty
+       CASE WHEN NOT isnan(qty) AND qty > 300 THEN 300.0 ELSE qty END AS qty
 FROM sellout
 WHERE TRY_CAST(substring(yearweek, 5, 2) AS INTEGER) <= 52
 """

@@ -91,7 +91,7 @@ def prj_grade_case(spark, sf_dir):
 
 
 @query("prj_cap", oracle=with_sellout("""
-SELECT regionid, product, yearweek, CASE WHEN qty > 300 THEN 300.0 ELSE qty END AS qty FROM sellout
+SELECT regionid, product, yearweek, CASE WHEN NOT isnan(qty) AND qty > 300 THEN 300.0 ELSE qty END AS qty FROM sellout
 """))
 def prj_cap(spark, sf_dir):
     """PRJ-11: cap quantities above the threshold."""
@@ -99,7 +99,7 @@ def prj_cap(spark, sf_dir):
 
 
 @query("prj_cap_keep_original", oracle=with_sellout("""
-SELECT regionid, product, yearweek, CASE WHEN qty > 300 THEN 300.0 ELSE qty END AS qty,
+SELECT regionid, product, yearweek, CASE WHEN NOT isnan(qty) AND qty > 300 THEN 300.0 ELSE qty END AS qty,
        qty AS original_qty
 FROM sellout
 """))

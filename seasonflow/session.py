@@ -34,6 +34,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -53,6 +54,7 @@ def recommended_conf(shuffle_partitions: int = 2000) -> dict[str, str]:
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 

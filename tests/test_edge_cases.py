@@ -28,6 +28,11 @@ def test_cap_keeps_null_and_caps_above(spark):
     assert got == {"201401": None, "201402": 700000.0, "201403": 700000.0}
 
 
+def test_cap_leaves_nan(spark):
+    df = frame(spark, [("A", "P", "201401", float("nan"))])
+    assert str(C.cap(df, 300).first()["qty"]) == "nan"
+
+
 def test_cap_keep_original(spark):
     df = frame(spark, [("A", "P", "201401", 900.0)])
     r = C.cap_keep_original(df, 300).first()

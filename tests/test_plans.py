@@ -56,3 +56,24 @@ def test_lookup_broadcast_is_size_checked(spark):
     assert count_nodes(lookup_join(fact, dim, "l_partkey", "inner"), "BroadcastExchange") == 1
     big = lookup_join(fact, dim, "l_partkey", "inner", max_broadcast_rows=10)
     assert count_nodes(big, "BroadcastExchange") == 0
+
+
+def test_hot_key_is_not_one_task(spark):
+    """A key holding a third of all rows: stretched stats broadcast the small
+    aggregate instead of shuffling (or windowing) the rows by key."""
+    from pyspark.sql import functions as F
+
+    from seasonflow.operators import groupstats as G
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 997).cast("string")).alias("regionid"),
+        F.lit("P").alias("product"), (F.col("id") % 50).cast("double").alias("qty"))
+    out = G.stretch_stats(df, ["regionid", "product"], stats=("size", "average"))
+    assert count_nodes(out, "BroadcastHashJoin") == 1
+    assert count_nodes(out, "Window") == 0
+    tree = plan_text(out).split("\n\n\n")[0]
+    # the only exchange is the broadcast of the checkpointed aggregate
+    assert count_nodes(out, "Exchange") == 0 and "BroadcastExchange" in tree
+    hot = out.filter("regionid = 'HOT'").first()
+    assert hot["size"] == n // 3
