@@ -1,10 +1,10 @@
-"""Catalogue: a CSV write/read round trip through the shared scratch folder (SRC-1, SNK-4)."""
+"""Catalogue: write/read round trips through the shared scratch folder (SRC-1..3, SNK-4/5)."""
 
 from __future__ import annotations
 
 from ..functions.schemas import SELLOUT_SCHEMA
 from ..session import scratch_path
-from ..sources.readers import read_csv
+from ..sources.readers import read_csv, read_delimited, read_text
 from ..sources.tables import sellout
 from ..sources.writers import write_csv
 from .registry import query, with_sellout
@@ -15,3 +15,18 @@ def src_csv_roundtrip(spark, sf_dir):
     """Write the sell-out as CSV with a header, read it back with an explicit schema."""
     path = write_csv(sellout(spark, sf_dir), scratch_path(spark, "sellout-csv"), header=True)
     return read_csv(spark, path, schema=SELLOUT_SCHEMA, header=True)
+
+
+@query("src_delimited_roundtrip", oracle=with_sellout("SELECT regionid, product, yearweek, qty FROM sellout"))
+def src_delimited_roundtrip(spark, sf_dir):
+    """SRC-2 / SNK-4: a ``;``-separated file with a header, written and read back."""
+    path = write_csv(sellout(spark, sf_dir), scratch_path(spark, "sellout-semi"), header=True, sep=";")
+    return read_delimited(spark, path, schema=SELLOUT_SCHEMA, header=True)
+
+
+@query("src_text_lines", oracle=with_sellout(
+    "SELECT regionid || ',' || product || ',' || yearweek || ',' || CAST(qty AS VARCHAR) AS value FROM sellout"))
+def src_text_lines(spark, sf_dir):
+    """SNK-5 + SRC-3: CSV without a header, read back as plain text lines."""
+    path = write_csv(sellout(spark, sf_dir), scratch_path(spark, "sellout-lines"), header=False)
+    return read_text(spark, path)

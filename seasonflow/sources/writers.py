@@ -37,6 +37,25 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     return path
 
 
+def save_bucketed(df: DataFrame, table: str, buckets: int, by=("regionid", "product"),
+                  sort_by=("regionid", "product", "yearweek"), mode: str = "overwrite",
+                  path: str | None = None, fmt: str = "parquet") -> str:
+    """Persist a table bucketed (and sorted) by the series key.
+
+    Later jobs that partition by the bucket columns (the moving-average windows, the
+    series and index aggregations) read it without any shuffle. ``path`` places the
+    files in a shared location (otherwise the session's warehouse folder).
+    """
+    by = [by] if isinstance(by, str) else list(by)
+    w = df.write.mode(_check_mode(mode)).format(fmt).bucketBy(buckets, *by)
+    if sort_by:
+        w = w.sortBy(*([sort_by] if isinstance(sort_by, str) else list(sort_by)))
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+    return table
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", *,
                user: str | None = None, password: str | None = None, driver: str | None = None,
                truncate: bool = False, batch_size: int | None = None,

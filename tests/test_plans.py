@@ -77,3 +77,20 @@ def test_hot_key_is_not_one_task(spark):
     assert count_nodes(out, "Exchange") == 0 and "BroadcastExchange" in tree
     hot = out.filter("regionid = 'HOT'").first()
     assert hot["size"] == n // 3
+
+
+def test_bucketed_series_table_needs_no_shuffle(spark, scratch):
+    import os
+    import uuid
+
+    from seasonflow.sources.tables import sellout
+    from seasonflow.sources.writers import save_bucketed
+
+    name = f"series_{uuid.uuid4().hex[:8]}"
+    save_bucketed(sellout(spark, SF_SMALL), name, 4, path=os.path.join(scratch, name))
+    t = spark.table(name)
+    idx = S.seasonality_index(S.seasonal_ratio(S.moving_average(S.series(t), order=17)))
+    assert count_nodes(idx, "Exchange") == 0
+    assert idx.count() == S.seasonality_index(S.seasonal_ratio(
+        S.moving_average(S.series(sellout(spark, SF_SMALL)), order=17))).count()
+    spark.sql(f"DROP TABLE {name}")
