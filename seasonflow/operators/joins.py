@@ -17,22 +17,13 @@ DEFAULT_BROADCAST_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (stops counting past the bound)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
 
-
-def bounded_counts(*dfs: DataFrame, bound: int = DEFAULT_BROADCAST_ROWS) -> list[int]:
-    """Row counts of several (small) frames in one job, each capped at ``bound + 1``.
-
-    A count above ``bound`` means "too large"; only a two-column tally per frame
-    reaches the driver.
+    ``offset(max_rows).isEmpty()`` plans a CollectLimit that scans partitions
+    incrementally (one first, then more) and stops as soon as row ``max_rows + 1``
+    is seen, reading no data columns; a huge table is not scanned in full.
     """
-    tagged = None
-    for i, df in enumerate(dfs):
-        part = df.limit(bound + 1).select(F.lit(i).alias("_frame"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    got = {r["_frame"]: r["n"] for r in tagged.groupBy("_frame").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [int(got.get(i, 0)) for i in range(len(dfs))]
+    return df.offset(max_rows).isEmpty()
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.yearweek import iso_yearweek
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, bounded_counts
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -21,6 +21,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 SELLOUT_COLUMNS = ("regionid", "product", "yearweek", "qty")
 
+# a + b <= _PAIR_BOUND implies a * b <= _PAIR_BOUND**2 / 4 <= DEFAULT_BROADCAST_ROWS
+_PAIR_BOUND = int((4 * DEFAULT_BROADCAST_ROWS) ** 0.5)
+
 # Declared schemas of the star-schema tables: reads skip footer-based inference and a
 # file with a drifted schema fails instead of silently changing types.
 SCHEMAS = {
@@ -53,14 +56,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 def customer_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``c_custkey -> r_name``.
 
-    nation and region are counted in one job; when ``|nation| x |region|`` (an upper
-    bound of their join) is within the broadcast bound, both joins broadcast and the
+    One size check covers nation and region: if ``|nation| + |region| <= 894`` then
+    their join has at most ``894^2 / 4 < 200k`` rows, and both joins broadcast so the
     customer scan is never shuffled. Otherwise the planner chooses.
     """
     nation = table(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region", "r_regionkey", "r_name")
-    n_nation, n_region = bounded_counts(nation, region)
-    small = n_nation * n_region <= DEFAULT_BROADCAST_ROWS
+    both = nation.select(F.lit(1).alias("_one")).unionByName(region.select(F.lit(1).alias("_one")))
+    small = fits_broadcast(both, _PAIR_BOUND)
     geo = (nation.join(F.broadcast(region) if small else region,
                        F.col("n_regionkey") == F.col("r_regionkey"))
            .select(F.col("n_nationkey").alias("c_nationkey"), "r_name"))
