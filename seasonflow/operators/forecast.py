@@ -41,6 +41,17 @@ def time_split(df: DataFrame, split_at: int, yearweek: str = "yearweek") -> tupl
     return df.filter(yw <= split_at), df.filter(yw > split_at)
 
 
+def split_label(df: DataFrame, split_at: int, yearweek: str = "yearweek", out: str = "split") -> DataFrame:
+    """The same complementary split as one labelled pass (``train`` / ``test``).
+
+    Rows whose yearweek does not parse fall in neither filter of ``time_split`` and
+    are dropped here too.
+    """
+    yw = yearweek_int(yearweek)
+    return (df.filter(yw.isNotNull())
+            .withColumn(out, F.when(yw <= split_at, F.lit("train")).otherwise(F.lit("test"))))
+
+
 def regressor(kind: str, label: str = "qty", features: str = "features", seed: int = DEFAULT_SEED):
     """ML-4/5/6 with library defaults; tree models always get an explicit seed."""
     if kind == "decision_tree":

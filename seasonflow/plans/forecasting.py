@@ -51,8 +51,7 @@ FROM inp
 """)
 def ml_split(spark, sf_dir):
     """ML-2 / FLT-11: complementary train / test filters on the integer yearweek."""
-    train, test = M.time_split(_input(spark, sf_dir), P.SPLIT_YEARWEEK)
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return M.split_label(_input(spark, sf_dir), P.SPLIT_YEARWEEK)
 
 
 @query("ml_metrics", oracle=with_sellout("""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.rounding import report
 from ..operators import reshape as R
 from ..operators import seasonality as S
+from ..operators.joins import materialize
 from ..sources.tables import sellout
 from . import params as P
 from .registry import query, with_sellout
@@ -46,8 +47,12 @@ def _ids():
 
 @query("reshape_measures", oracle=with_sellout(_LONG_SQL, clean=True))
 def reshape_measures(spark, sf_dir):
-    """SET-1 + PRJ-7/17: UNION ALL of real and predicted measures, upper-case labels."""
-    df = _actual_vs_ma(spark, sf_dir).select(*_ids(), "qty", "ma")
+    """SET-1 + PRJ-7/17: UNION ALL of real and predicted measures, upper-case labels.
+
+    Both branches read the same checkpointed series (one row per key and week) instead
+    of recomputing the sell-out joins twice.
+    """
+    df = materialize(_actual_vs_ma(spark, sf_dir).select(*_ids(), "qty", "ma"))
     return R.measures_union(df, ["REGIONID", "PRODUCT", "YEARWEEK"], "qty", "ma")
 
 @query("reshape_unpivot", headline=True, oracle=with_sellout(_LONG_SQL, clean=True))

@@ -22,6 +22,14 @@ def test_split_is_complementary(spark, split):
     assert train.count() + test.count() == full.count()
 
 
+def test_split_label_matches_filters(spark, split):
+    train, test = split
+    labelled = M.split_label(_input(spark, SF_SMALL), P.SPLIT_YEARWEEK)
+    got = {r["split"]: r["n"] for r in labelled.groupBy("split").agg({"*": "count"})
+           .withColumnRenamed("count(1)", "n").collect()}
+    assert got == {"train": train.count(), "test": test.count()}
+
+
 @pytest.mark.parametrize("kind", M.MODELS)
 def test_seeded_models_repeat(spark, split, kind):
     train, test = split
