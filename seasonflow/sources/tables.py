@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.yearweek import iso_yearweek
-from ..operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast
+from ..operators.joins import DEFAULT_BROADCAST_ROWS, fits_broadcast, lookup_join
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -75,13 +75,15 @@ def _weekly_lines(spark: SparkSession, sf_dir: str, *line_columns: str) -> DataF
     """Line items tagged with (regionid, product, yearweek).
 
     Join order is chosen for the large-scale case: orders are reduced to
-    ``orderkey -> (region, yearweek)`` first (an orders-sized shuffle), lineitem is
-    projected to the few columns needed before it meets orders and part.
+    ``orderkey -> (region, yearweek)`` first, lineitem is projected to the few columns
+    needed before it meets orders and part. The customer -> region and part -> type
+    lookups are broadcast only when their size check passes (small and medium data);
+    beyond the bound they are shuffle joins, AQE splitting skewed keys.
     """
     orders = (
-        table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate")
-        .join(customer_region(spark, sf_dir),
-              F.col("o_custkey") == F.col("c_custkey"))
+        lookup_join(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate"),
+                    customer_region(spark, sf_dir).withColumnRenamed("c_custkey", "o_custkey"),
+                    "o_custkey", "inner")
         .select(F.col("o_orderkey").alias("l_orderkey"),
                 F.col("r_name").alias("regionid"),
                 iso_yearweek("o_orderdate").alias("yearweek"))
@@ -89,7 +91,7 @@ def _weekly_lines(spark: SparkSession, sf_dir: str, *line_columns: str) -> DataF
     items = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", *line_columns)
     parts = table(spark, sf_dir, "part", "p_partkey", "p_type").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product"))
-    return items.join(orders, "l_orderkey").join(parts, "l_partkey")
+    return lookup_join(items.join(orders, "l_orderkey"), parts, "l_partkey", "inner")
 
 
 def sellout(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,10 +25,13 @@ joins, hash/object aggregates (partial and final count separately), window
 operators, parquet scans, RDD scans (checkpointed intermediates or literal rows) and
 scans with non-empty pushed filters.
 
-Reading the table at 100 TB: most queries start from the derived sell-out, whose
-cost is two shuffles of the projected `lineitem` (joins on orderkey and partkey),
-the `orders` and `customer` shuffles, and one shuffle of the partially aggregated
-(region, type, week) rows; nation and region are broadcast after a size check. What
+Reading the table at 100 TB: most queries start from the derived sell-out. On this
+data the customer -> region and part -> type lookups pass their size checks and are
+broadcast, leaving one `lineitem`/`orders` shuffle (the orderkey join) and one
+shuffle of the partially aggregated (region, type, week) rows. At 100 TB those two
+lookups exceed the bound and become shuffle joins: two shuffles of the projected
+`lineitem` (orderkey, partkey) plus the `orders`/`customer` shuffles; nation and
+region stay broadcast. What
 follows the sell-out works on one row per key and week, a table that grows with the
 number of series and weeks, not with the line items. Queries with zero shuffles
 read checkpointed intermediates (stretched statistics, shares) or the written files
