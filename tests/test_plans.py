@@ -94,3 +94,37 @@ def test_bucketed_series_table_needs_no_shuffle(spark, scratch):
     assert idx.count() == S.seasonality_index(S.seasonal_ratio(
         S.moving_average(S.series(sellout(spark, SF_SMALL)), order=17))).count()
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_beyond_the_bound_hot_key_is_split_by_aqe(spark):
+    """When the lookup fails its size check, the shuffle join runs with AQE's skew
+    handling: the partition of a key holding a third of the rows is split."""
+    from pyspark.sql import functions as F
+
+    from seasonflow.operators.joins import lookup_join
+
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 300000
+        fact = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000).alias("k"),
+            F.col("id").alias("v"))
+        dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        joined = lookup_join(fact, dim, "k", "inner", max_broadcast_rows=10)
+        assert count_nodes(joined, "BroadcastExchange") == 0
+        rows = joined.collect()
+        assert len(rows) == n
+        assert "SortMergeJoin(skew=true)" in plan_text(joined)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
