@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..functions.schemas import SELLOUT_SCHEMA
 from ..session import scratch_path
 from ..sources.readers import read_csv, read_delimited, read_text
 from ..sources.tables import sellout
-from ..sources.writers import write_csv
+from ..sources.writers import write_csv, write_text
 from .registry import query, with_sellout
 
 
@@ -30,3 +32,18 @@ def src_text_lines(spark, sf_dir):
     """SNK-5 + SRC-3: CSV without a header, read back as plain text lines."""
     path = write_csv(sellout(spark, sf_dir), scratch_path(spark, "sellout-lines"), header=False)
     return read_text(spark, path)
+
+
+@query("snk_text_to_csv", oracle=with_sellout(
+    "SELECT regionid || ',' || product || ',' || yearweek || ',' || CAST(qty AS VARCHAR) AS value FROM sellout"))
+def snk_text_to_csv(spark, sf_dir):
+    """SRC-3 -> SNK-5: text lines (containing commas) written as a one-column CSV.
+
+    The CSV sink quotes each line because it contains the separator; reading the CSV
+    back with a one-column schema returns the original lines.
+    """
+    lines = sellout(spark, sf_dir).select(F.concat_ws(",", "regionid", "product", "yearweek",
+                                                      F.col("qty").cast("string")).alias("value"))
+    text_path = write_text(lines, scratch_path(spark, "sellout-text"))
+    csv_path = write_csv(read_text(spark, text_path), scratch_path(spark, "text-csv"), header=False)
+    return read_csv(spark, csv_path, schema="value string", header=False)

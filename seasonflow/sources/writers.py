@@ -28,6 +28,12 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     return path
 
 
+def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """One line per row of a single string column."""
+    df.write.mode(_check_mode(mode)).text(path)
+    return path
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> str:
     """Columnar output for large results (optionally partitioned, e.g. by region)."""
     w = df.write.mode(_check_mode(mode))
