@@ -9,11 +9,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
 
-# Broadcast bound, in rows, for lookup sides (projected to a few narrow columns).
+# Broadcast bounds for lookup sides: at most this many rows, and at most this many
+# bytes by the schema's per-row size estimate (whichever allows fewer rows).
 DEFAULT_BROADCAST_ROWS = 200_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+_FIXED_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "bigint": 8, "float": 4,
+                "double": 8, "date": 4, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes per row (strings 32, nested types 128), plus row overhead."""
+    width = 16
+    for f in schema.fields:
+        name = f.dataType.simpleString()
+        if name in _FIXED_WIDTH:
+            width += _FIXED_WIDTH[name]
+        elif name.startswith("decimal"):
+            width += 16
+        elif name in ("string", "binary") or name.startswith(("char", "varchar")):
+            width += 32
+        else:
+            width += 128
+    return width
+
+
+def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    return max(1, min(max_rows, max_bytes // row_width(df.schema)))
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
@@ -45,7 +72,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, on, how: str = "left",
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "semi", "left_anti", "anti"):
         raise ValueError(f"lookup_join builds on the right side; unsupported how={how!r}")
-    if fits_broadcast(dim, max_broadcast_rows):
+    if fits_broadcast(dim, broadcast_row_bound(dim, max_broadcast_rows)):
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 

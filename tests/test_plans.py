@@ -128,3 +128,14 @@ def test_beyond_the_bound_hot_key_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_broadcast_bound_accounts_for_row_width(spark):
+    from seasonflow.operators.joins import broadcast_row_bound, row_width
+
+    narrow = spark.range(1).selectExpr("id AS k", "'x' AS name")
+    wide = spark.range(1).selectExpr("id AS k", *[f"'x' AS s{i}" for i in range(40)])
+    assert row_width(narrow.schema) == 16 + 8 + 32
+    assert broadcast_row_bound(narrow) == 200_000
+    assert broadcast_row_bound(wide) < 200_000
+    assert broadcast_row_bound(wide, max_bytes=100_000) == 100_000 // row_width(wide.schema)
