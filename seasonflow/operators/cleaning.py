@@ -89,7 +89,8 @@ def parameter_filter(df: DataFrame, params: DataFrame, category: str = "COMMON",
     ``params`` has ``param_category, param_name, param_value, use_yn``. Active rows
     (``use_yn = 'Y'``) of ``category`` give ``VALID_WEEK`` (keep ``week < value``),
     ``VALID_YEAR`` (keep ``year >= value``) and ``VALID_PRODUCT`` (one row per product).
-    Missing scalars fall back to the defaults; a missing product list keeps nothing.
+    Missing scalars fall back to the defaults (the smallest value wins when several
+    active rows give one); a missing product list keeps nothing.
 
     Nothing is collected: the two scalars are scalar subqueries over a one-row global
     aggregate, the product list is a left-semi join (broadcast when its measured size
