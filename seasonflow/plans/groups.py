@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.rounding import report
+from ..operators import cleaning as C
 from ..operators import groupstats as G
 from ..operators.seasonality import series
 from ..sources.tables import sellout
+from . import params as P
 from .common import clean_sellout, parameter_table
 from .registry import PARAMS_SQL, query, with_sellout
 
@@ -57,6 +59,20 @@ def agg_group_stats(spark, sf_dir):
                     report("stddev").alias("stddev"))
 
 
+@query("agg_group_stats_region", oracle=with_sellout(f"""
+SELECT {_KEY_SQL} AS keycol, count(*) AS size, round(avg(qty), 6) AS average,
+       round(stddev_samp(qty), 6) AS stddev
+FROM clean WHERE 1 = 1 AND regionid = 'AFRICA' AND product IN ('PROMO', 'SMALL')
+GROUP BY regionid, product
+""", clean=True))
+def agg_group_stats_region(spark, sf_dir):
+    """AGG-4 on the quiz job's slice: one region, the two analysed products (FLT-8, FLT-4)."""
+    c = C.in_set(_keyed(spark, sf_dir).filter(F.col("regionid") == P.REGION), P.PRODUCTS)
+    g = G.group_stats(c, KEYS, stats=("size", "average", "stddev"))
+    return g.select(G.key_column().alias("keycol"), "size", report("average").alias("average"),
+                    report("stddev").alias("stddev"))
+
+
 @query("agg_group_dispersion", oracle=with_sellout(f"""
 SELECT {_KEY_SQL} AS keycol, count(*) AS size, round(avg(qty), 6) AS average,
        round({_DISP_SQL}, 6) AS dispersion

@@ -42,6 +42,26 @@ def seasonality_index(spark, sf_dir):
         report("avg_ma").alias("AVG_MA"), report("avg_ratio").alias("AVG_RATIO"))
 
 
+_RATIO_PRODUCTS_SQL = _RATIO_SQL.replace("FROM clean GROUP BY ALL",
+                                         "FROM clean WHERE product IN ('PROMO', 'SMALL') GROUP BY ALL")
+
+
+@query("seasonality_index_products", oracle=with_sellout(_RATIO_PRODUCTS_SQL + """
+SELECT regionid AS REGIONID, product AS PRODUCT, substring(yearweek, 5, 2) AS WEEK,
+       round(avg(qty), 6) AS AVG_VOLUME, round(avg(ma), 6) AS AVG_MA,
+       round(avg(ratio), 6) AS AVG_RATIO
+FROM r GROUP BY 1, 2, 3
+""", clean=True))
+def seasonality_index_products(spark, sf_dir):
+    """The flagship job exactly as the reference runs it: only the two analysed products."""
+    rows = S.seasonal_rows(sellout(spark, sf_dir), order=P.ORDER, cap_value=P.CAP, products=P.PRODUCTS)
+    idx = S.seasonality_index(rows)
+    return idx.select(
+        F.col("regionid").alias("REGIONID"), F.col("product").alias("PRODUCT"),
+        F.col("week").alias("WEEK"), report("avg_volume").alias("AVG_VOLUME"),
+        report("avg_ma").alias("AVG_MA"), report("avg_ratio").alias("AVG_RATIO"))
+
+
 @query("seasonal_ma", headline=True, oracle=with_sellout(_RATIO_SQL + """
 SELECT regionid, product, yearweek, qty, round(ma, 6) AS ma FROM r
 """, clean=True))
