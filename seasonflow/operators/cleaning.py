@@ -97,7 +97,9 @@ def parameter_filter(df: DataFrame, params: DataFrame, category: str = "COMMON",
     allows).
     """
     active = params.filter((F.col("use_yn") == "Y") & (F.col("param_category") == category))
-    scalars = active.agg(
+    # filter before aggregating so the optimizer can prune parameter sources that
+    # cannot hold the scalar names (e.g. a product list derived from a big table)
+    scalars = active.filter(F.col("param_name").isin("VALID_WEEK", "VALID_YEAR")).agg(
         F.coalesce(F.min(F.when(F.col("param_name") == "VALID_WEEK",
                                 F.col("param_value").try_cast("int"))),
                    F.lit(default_week)).alias("_valid_week"),
