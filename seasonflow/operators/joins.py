@@ -40,6 +40,7 @@ def row_width(schema: T.StructType) -> int:
 
 def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                         max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    """Rows allowed for broadcasting ``df``: the row bound, lowered for wide rows."""
     return max(1, min(max_rows, max_bytes // row_width(df.schema)))
 
 
