@@ -30,11 +30,18 @@ def canonical(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 def assert_same(df, con, sql):
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
+    dtypes = {d[0]: str(d[1]).upper() for d in res.description}
     drows = res.fetchall()
     srows = [tuple(r) for r in df.collect()]
     assert sorted(df.columns) == sorted(dcols)
+    for name, t in df.dtypes:
+        assert SPARK_TO_DUCK.get(t, t.upper()) == dtypes[name], (name, t, dtypes[name])
     assert len(srows) == len(drows)
     assert canonical(df.columns, srows) == canonical(dcols, drows)
