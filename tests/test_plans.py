@@ -139,3 +139,16 @@ def test_broadcast_bound_accounts_for_row_width(spark):
     assert broadcast_row_bound(narrow) == 200_000
     assert broadcast_row_bound(wide) < 200_000
     assert broadcast_row_bound(wide, max_bytes=100_000) == 100_000 // row_width(wide.schema)
+
+
+@pytest.mark.parametrize("name", [q for q in NO_ML if not q.endswith("_star")])
+def test_lineitem_scans_are_pruned(spark, name):
+    """Only the `a.*` star joins need every lineitem column; all other plans read at
+    most four of its eleven columns."""
+    import re
+
+    text = plan_text(QUERIES[name](spark, SF_SMALL))
+    for block in text.split("\n\n"):
+        if "lineitem.parquet" in block:
+            schema = re.search(r"ReadSchema: struct<(.*)>", block).group(1)
+            assert len(schema.split(",")) <= 4, (name, schema)
