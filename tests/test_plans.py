@@ -7,15 +7,25 @@ from conftest import SF_SMALL
 from seasonflow.operators import cleaning as C
 from seasonflow.operators import seasonality as S
 from seasonflow.plans import QUERIES
-from seasonflow.plans.inspect import count_nodes, plan_text, pushed_filters, uses_python
+from seasonflow.plans.inspect import count_nodes, plan_text, pushed_filters
 from seasonflow.sources.tables import table
 
 NO_ML = sorted(q for q in QUERIES if not q.startswith("ml_"))
 
 
 @pytest.mark.parametrize("name", NO_ML)
-def test_no_python_evaluation(spark, name):
-    assert not uses_python(QUERIES[name](spark, SF_SMALL))
+def test_plan_is_jvm_side_and_pruned(spark, name):
+    """No Python evaluation in any plan; outside the `a.*` star joins, every plan
+    reads at most four of lineitem's eleven columns."""
+    import re
+
+    text = plan_text(QUERIES[name](spark, SF_SMALL))
+    assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|FlatMapGroupsInPandas|MapInPandas", text)
+    if not name.endswith("_star"):
+        for block in text.split("\n\n"):
+            if "lineitem.parquet" in block:
+                schema = re.search(r"ReadSchema: struct<(.*)>", block).group(1)
+                assert len(schema.split(",")) <= 4, (name, schema)
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -140,15 +150,3 @@ def test_broadcast_bound_accounts_for_row_width(spark):
     assert broadcast_row_bound(wide) < 200_000
     assert broadcast_row_bound(wide, max_bytes=100_000) == 100_000 // row_width(wide.schema)
 
-
-@pytest.mark.parametrize("name", [q for q in NO_ML if not q.endswith("_star")])
-def test_lineitem_scans_are_pruned(spark, name):
-    """Only the `a.*` star joins need every lineitem column; all other plans read at
-    most four of its eleven columns."""
-    import re
-
-    text = plan_text(QUERIES[name](spark, SF_SMALL))
-    for block in text.split("\n\n"):
-        if "lineitem.parquet" in block:
-            schema = re.search(r"ReadSchema: struct<(.*)>", block).group(1)
-            assert len(schema.split(",")) <= 4, (name, schema)
