@@ -6,6 +6,7 @@ The library never creates a session on its own: callers (tests, ``bench.py``) us
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -43,16 +44,32 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
-def recommended_conf(shuffle_partitions: int = 2000) -> dict[str, str]:
-    """Settings this library is designed for on a cluster (the caller owns the session)."""
+def shuffle_partitions_for(shuffle_bytes: float, target_bytes: int = 256 * 1024 ** 2) -> int:
+    """Partitions so that the largest expected shuffle gives ~``target_bytes`` per task."""
+    return max(1, math.ceil(shuffle_bytes / target_bytes))
+
+
+def recommended_conf(shuffle_partitions: int | None = None, shuffle_bytes: float | None = None,
+                     target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings this library is designed for on a cluster (the caller owns the session).
+
+    Give either a partition count or the size of the largest expected shuffle; e.g. at
+    100 TB the sell-out's projected line-item shuffle is roughly 20 TB, which at 256 MB
+    per task is ~80k partitions. AQE then coalesces small ones and splits skewed ones,
+    so tasks stay near the target size and fit in executor memory.
+    """
+    if shuffle_partitions is None:
+        shuffle_partitions = (shuffle_partitions_for(shuffle_bytes, target_partition_bytes)
+                              if shuffle_bytes else 2000)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.session.timeZone": "UTC",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }

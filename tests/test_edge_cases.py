@@ -200,3 +200,13 @@ def test_arrays_literal_fixtures(spark):
     p = df.select(A.reduce_product(F.slice("prices", 1, 2)).alias("p"),
                   A.fold("ints", F.lit(0), lambda a, b: a - b).alias("m")).first()
     assert p["p"] == 1200000.0 and p["m"] == -365
+
+
+def test_recommended_conf_sizes_partitions():
+    from seasonflow.session import recommended_conf, shuffle_partitions_for
+
+    assert shuffle_partitions_for(20 * 1024 ** 4) == 81920
+    conf = recommended_conf(shuffle_bytes=20 * 1024 ** 4)
+    assert conf["spark.sql.shuffle.partitions"] == "81920"
+    assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert recommended_conf(shuffle_partitions=8)["spark.sql.shuffle.partitions"] == "8"
