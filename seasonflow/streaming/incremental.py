@@ -47,7 +47,9 @@ def start_weekly_totals(df: DataFrame, checkpoint: str, sink: str, name: str | N
     """Start the totals query with its state checkpoint in a shared folder.
 
     The checkpoint makes the query restartable after a failure (state and source
-    offsets are recovered from it).
+    offsets are recovered from it). Totals are emitted in update mode, so ``sink``
+    must accept updates (memory, console, Kafka, or a ``foreachBatch`` writer that
+    merges into a table); file sinks accept only append.
     """
     w = (weekly_totals(df).writeStream.outputMode("update").format(sink)
          .option("checkpointLocation", checkpoint))
