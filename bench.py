@@ -3,7 +3,8 @@
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list, default the set below). Each query is executed in full
 with the ``noop`` sink (no result is pulled to the driver). A warm-up run on the
-smallest data set loads classes first. Prints one JSON line.
+smallest data set loads classes first. Prints one JSON line; ``cpu_probe_sec`` is a
+fixed pure-Python loop timed before the queries, to compare runs across machine states.
 """
 
 from __future__ import annotations
@@ -27,6 +28,16 @@ DEFAULT = [
 ]
 
 
+def cpu_probe() -> float:
+    """Seconds for a fixed pure-Python loop: a machine-speed reference for comparing
+    runs made under different machine states (not part of the timed value)."""
+    t0 = time.perf_counter()
+    total = 0
+    for i in range(5_000_000):
+        total += i
+    return round(time.perf_counter() - t0, 3)
+
+
 def run(spark, name, sf_dir):
     t0 = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
@@ -42,6 +53,7 @@ def main():
     warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
     if os.path.isdir(warm_dir):
         run(spark, "seasonality_index", warm_dir)
+    probe = cpu_probe()
     times = {}
     for name in names:
         times[name] = round(run(spark, name, sf_dir), 3)
@@ -53,6 +65,7 @@ def main():
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
+        "cpu_probe_sec": probe,
     }))
     spark.stop()
 
