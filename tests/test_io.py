@@ -81,3 +81,16 @@ def test_views_and_bound_sql(spark):
     out = views.sql(spark, "SELECT count(*) AS n FROM {t} WHERE qty > :q", frames={"t": df}, q=15)
     assert out.first()["n"] == 1
     views.drop_view(spark, name)
+
+
+def test_parquet_partitioned_output_prunes_on_read(spark, scratch):
+    from conftest import SF_SMALL
+
+    from seasonflow.plans import QUERIES
+    from seasonflow.plans.inspect import plan_text
+
+    idx = QUERIES["seasonality_index"](spark, SF_SMALL)
+    p = writers.write_parquet(idx, _path(scratch, "index"), partition_by="REGIONID")
+    back = readers.read_parquet(spark, p).filter(F.col("REGIONID") == "AFRICA")
+    assert "PartitionFilters: [isnotnull(REGIONID" in plan_text(back)
+    assert back.count() == idx.filter(F.col("REGIONID") == "AFRICA").count() > 0
