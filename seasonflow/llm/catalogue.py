@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash, urlfilter
+from . import mixing, packing, quality, simhash, urlfilter
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,14 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "component_id")
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    rows = quality.judge(load(spark, sf_dir, "documents"), keep=["doc_id"])
+    return rows.select("doc.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                       "n_repeat_words", "base_failed", "kept", "distance")
+
+
 @query("op5_mixing")
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
