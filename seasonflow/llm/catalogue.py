@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, quality, simhash, urlfilter
+from . import linededup, mixing, packing, quality, simhash, urlfilter
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@query("op6_fuzzy_lines")
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines left in every document."""
+    rows = linededup.deduplicate(load(spark, sf_dir, "documents"), keep=["doc_id"])
+    return rows.select("doc.doc_id", "n_lines", "n_removed",
+                       F.sha2("text", 256).alias("kept_sha256"))
+
+
 #: The fixed site rules and the word rules of the method, in order.
 URL_RULES = [
     urlfilter.site_rule("org/", "allow"),

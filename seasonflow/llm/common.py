@@ -42,6 +42,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Write ``df`` in the shared checkpoint folder as a table bucketed by ``key`` and read
+    it back. Joins and groupings on ``key`` then move only the other, narrow side: the
+    texts of a corpus are shuffled once, however often they are joined."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).format("parquet")
+     .option("compression", "zstd").option("path", f"{checkpoint_dir(spark)}/{table}")
+     .saveAsTable(table))
+    return spark.table(table)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`written` that nothing will read again."""
     spark = df.sparkSession
