@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, mixing, packing, quality, simhash, urlfilter
+from . import embeddings, linededup, mixing, packing, quality, simhash, urlfilter
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,14 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page.page_id", "host", "path", "rule", "verdict")
 
 
+@query("op9_embeddings")
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors."""
+    rows = embeddings.near_duplicates(load(spark, sf_dir, "embeddings"), threshold=0.93,
+                                      keep=["vec_id"])
+    return rows.select("row.vec_id", "n_links", "component_id", "kept")
+
+
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
