@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, linededup, mixing, packing, quality, simhash, urlfilter
+from . import embeddings, linededup, mixing, packing, quality, simhash, substrings, urlfilter
 from .common import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,13 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "n_repeat_words", "base_failed", "kept", "distance")
 
 
+@query("op4_substrings")
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left in every document after repeated passages of 35 words went."""
+    rows = substrings.remove_repeats(load(spark, sf_dir, "documents"), keep=["doc_id"])
+    return rows.select("doc.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query("op5_mixing")
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words the mix takes of every document."""
