@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, linededup, mixing, packing, quality, simhash, substrings, urlfilter
-from .common import load
+from . import (
+    embeddings, licences, linededup, mixing, packing, quality, rollups, simhash, substrings,
+    urlfilter,
+)
+from .common import load, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,6 +29,17 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
+@query("op1_licences")
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, laid out as source/language/thousands/tens/id."""
+    docs = load(spark, sf_dir, "documents")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")),
+                       F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 10), "doc_id")
+    rows = licences.scan(docs, path, keep=["doc_id"])
+    return rows.select("item.doc_id", "path", "licence", "origin", "directory", "line",
+                       F.round("score", 6).alias("score"))
+
+
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
@@ -113,6 +127,45 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page.page_id", "host", "path", "rule", "verdict")
 
 
+OP8_SQL = r"""
+WITH counted AS (
+  SELECT source, lang,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n,
+         list_distinct(string_split(coalesce(text, ''), chr(10))) AS lines
+  FROM documents
+), kept AS (
+  SELECT source, lang, array_to_string(lines, chr(10)) AS once FROM counted WHERE n >= 10
+), counts AS (
+  SELECT source, lang, 'words.v1' AS tokenizer,
+         len(regexp_extract_all(once, '[^\x20\x09-\x0D]+')) AS tokens FROM kept
+  UNION ALL
+  SELECT source, lang, 'words.v2',
+         len(regexp_extract_all(once, '[A-Za-z0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) FROM kept
+)
+SELECT source, lang, tokenizer, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens
+FROM counts GROUP BY ALL
+"""
+
+
+@query("op8_token_rollup", OP8_SQL)
+def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after a history of batches over all documents: all come in under the first
+    tokenizer, those of under ten words go, those that repeat a line are revised to their
+    distinct lines, the second tokenizer is added, and the deletes are sent once more."""
+    v1, v2 = {"words.v1": "n words.v1"}, {"words.v2": "u words.v2"}
+    u1 = {"words.v1": "u words.v1"}
+    docs = written(rollups.counted(load(spark, sf_dir, "documents")), "counted")
+    short = rollups.deletes(docs.where("`n words.v1` < 10"), v1)
+    left = docs.where("`n words.v1` >= 10")
+    rollup = rollups.Rollup(spark)
+    rollup.commit("1", rollups.inserts(docs, v1))
+    rollup.commit("2", short)
+    rollup.commit("3", rollups.revisions(left.where("`n words.v1` <> `u words.v1`"), v1, u1))
+    rollup.commit("4", rollups.inserts(left, v2))
+    rollup.commit("2", short)
+    return rollup.totals()
+
+
 @query("op9_embeddings")
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of all vectors."""
