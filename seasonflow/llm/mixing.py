@@ -12,13 +12,12 @@ phase moves them along the null-space of two balancing constraints (documents an
 tokens), so both totals stay what they were, until no more than two probabilities are
 left between 0 and 1. It runs in blocks of bounded size in parallel; the few
 documents still undecided in each block meet in the next level's blocks, until a
-source has one block, whose last two documents are the landing problem.
+source has one block. There the flight holds back a few documents of all sizes, which
+with its own last two are the landing problem, solved by trying all ways.
 """
 
 from __future__ import annotations
 
-import itertools
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -30,6 +29,8 @@ WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MAX_COPIES = 2
 BLOCK = 2_000
+#: Units of a source's last block that the flight leaves to the landing, of all sizes.
+HELD = 10
 _EPS = 1e-9
 
 
@@ -103,15 +104,22 @@ def flight(prob: np.ndarray, size: np.ndarray, draw: np.ndarray) -> np.ndarray:
     return prob
 
 
+def spread(n: int, held: int = HELD) -> np.ndarray:
+    """Evenly spaced places among ``n``: units that the flight leaves to the landing."""
+    return np.unique(np.linspace(0, n - 1, min(n, held)).round().astype(int))
+
+
 def land(prob: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Landing phase: of all ways to decide the (at most two) open units, the one whose
-    token total is nearest to the expected one, then whose document total is."""
+    """Landing phase: of all ways to decide the open units (a dozen at most), the one whose
+    token total is nearest to the expected one; a document too many or too few weighs as
+    much as a hundredth of a document's tokens."""
     open_units = np.flatnonzero((prob > 0) & (prob < 1))
+    ways = (np.arange(1 << len(open_units))[:, None] >> np.arange(len(open_units)) & 1).astype(float)
+    off = ways - prob[open_units]
+    cost = (np.abs((off * size[open_units]).sum(axis=1))
+            + np.abs(off.sum(axis=1)) * size.mean() / 100)
     prob = prob.copy()
-    best = min(itertools.product((0.0, 1.0), repeat=len(open_units)), key=lambda z: (
-        abs(sum((x - prob[i]) * size[i] for x, i in zip(z, open_units))),
-        abs(sum(x - prob[i] for x, i in zip(z, open_units))), z))
-    prob[open_units] = best
+    prob[open_units] = ways[int(np.argmin(cost))]
     return prob
 
 
@@ -120,7 +128,7 @@ def _decide(units: DataFrame, seed: int) -> DataFrame:
 
     A unit's block is a hash of its mark, so the result does not depend on the
     partitions that the rows arrive in. Large documents go first: the ones left open at
-    the end are then small, and the landing moves the token total little."""
+    the end are then small."""
     schema = "rid long, source string, size long, mark long, prob double"
 
     def run(block: pd.DataFrame) -> pd.DataFrame:
@@ -128,8 +136,12 @@ def _decide(units: DataFrame, seed: int) -> DataFrame:
                                   ignore_index=True)
         sizes = block["size"].to_numpy()
         rng = np.random.default_rng([seed, len(block), int(block["mark"].iloc[0]) & 0x7FFFFFFF])
-        prob = flight(block["prob"].to_numpy(float), sizes, rng.random(len(block) + 3))
-        if block["blocks"].iloc[0] == 1:
+        prob, last = block["prob"].to_numpy(float, copy=True), block["blocks"].iloc[0] == 1
+        fly = np.ones(len(block), bool)
+        if last:
+            fly[spread(len(block))] = False
+        prob[fly] = flight(prob[fly], sizes[fly], rng.random(len(block) + 3))
+        if last:
             prob = land(prob, sizes)
         return block.assign(prob=prob)[["rid", "source", "size", "mark", "prob"]]
 
