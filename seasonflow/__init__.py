@@ -8,7 +8,6 @@ Layout
                 moving averages / seasonality, shares, reshaping, forecasting)
 - ``plans``     the query catalogue (one callable per inventoried operator), the
                 matching DuckDB oracle SQL, and plan-inspection helpers
-- ``streaming`` the stateless cleaning operators applied to a streaming source
 
 Every operator takes and returns DataFrames or Columns; nothing creates a session,
 registers global names, collects rows to the driver or uses a Python UDF.

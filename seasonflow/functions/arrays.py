@@ -3,7 +3,7 @@
 The reference works on driver-local Scala arrays; here the same operations are
 higher-order functions on ``ArrayType`` columns, evaluated per row on executors.
 Arrays come from :func:`ordered_list` over a bounded group (one row per key and
-week), never from an unbounded collect.
+week), so their length is bounded by the calendar.
 """
 
 from __future__ import annotations
@@ -31,9 +31,11 @@ def discounted(arr, rate: float) -> Column:
 
 
 def fold_concat(arr, sep: str = "") -> Column:
-    """FN-15: left fold with string concatenation (``foldLeft("")(_ + _)``)."""
-    return F.aggregate(as_col(arr), F.lit(""),
-                       lambda acc, x: F.concat(acc, F.lit(sep), x) if sep else F.concat(acc, x))
+    """FN-15: left fold with string concatenation, ``sep`` between the elements."""
+    merge = (lambda acc, x: F.concat(acc, F.lit(sep), x)) if sep else (lambda acc, x: F.concat(acc, x))
+    a = as_col(arr)
+    first = F.coalesce(F.try_element_at(a, F.lit(1)), F.lit(""))
+    return F.aggregate(F.slice(a, 2, F.greatest(F.size(a), F.lit(1))), first, merge)
 
 
 def reduce_sum(arr) -> Column:
@@ -54,13 +56,44 @@ def reduce_product(arr) -> Column:
 def reduce_max(arr) -> Column:
     """AGG-14 with another operator: ``reduce(max)``; NULL for an empty array."""
     a = as_col(arr)
-    return F.aggregate(a, F.element_at(a, 1), lambda x, y: F.greatest(x, y))
+    return F.aggregate(a, F.try_element_at(a, F.lit(1)), lambda x, y: F.greatest(x, y))
+
+
+def _mean_between(arr: Column, low: Column, high: Column) -> Column:
+    """Mean of the elements at the 0-based positions ``low`` to ``high``."""
+    part = F.slice(arr, low + 1, high - low + 1)
+    return F.aggregate(part, F.lit(0.0), lambda s, x: s + x) / F.size(part)
+
 
+def edged_means(arr, h: int) -> Column:
+    """FN-18: means over ``[p - h, p + h]`` as three joined arrays of which the last is
+    built from the end and reversed (``pre ++ inner ++ post.reverse``).
 
-def edges(arr, h: int) -> Column:
-    """FN-18: first ``h`` elements followed by the last ``h`` reversed (``pre ++ post.reverse``)."""
+    ``pre`` has the first ``h`` positions, whose range is cut at the start; ``post``
+    counts back from the last position, its ranges cut at the end; arrays of fewer than
+    ``2 h`` elements have an empty ``inner`` and a shorter ``post``.
+    """
     a = as_col(arr)
-    return F.concat(F.slice(a, 1, h), F.reverse(F.slice(a, -h, h)))
+    n = F.size(a)
+    last = n - 1
+    n_pre = F.least(n, F.lit(h))
+    n_post = F.greatest(F.least(n - n_pre, F.lit(h)), F.lit(0))
+
+    def positions(count: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1), lambda i: i < count)
+
+    pre = F.transform(positions(n_pre), lambda p: _mean_between(
+        a, F.lit(0), F.least(p + h, last)))
+    inner = F.transform(positions(n - n_pre - n_post), lambda i: _mean_between(
+        a, i + n_pre - h, i + n_pre + h))
+    post = F.transform(positions(n_post), lambda back: _mean_between(
+        a, F.greatest(last - back - h, F.lit(0)), last))
+    return F.concat(pre, inner, F.reverse(post))
+
+
+def zipped(**arrays) -> Column:
+    """FN-18: arrays zipped position by position into structs with the given names."""
+    return F.arrays_zip(*[as_col(c).alias(name) for name, c in arrays.items()])
 
 
 def as_set_contains(arr, value) -> Column:

@@ -7,6 +7,8 @@ are dropped by the filters instead of failing the job (ANSI casts throw).
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,5 +56,14 @@ def iso_yearweek(ts) -> Column:
 
 
 def yearweek_range(lo: str, hi: str, yearweek="yearweek") -> Column:
-    """FLT-9: inclusive, lexicographic ``between`` on the string (pushable to the scan)."""
+    """FLT-9: inclusive, lexicographic ``between`` on the string. Pushed to the scan of a
+    table that has the string; where it is derived from a date, see :func:`week_dates`."""
     return as_col(yearweek).between(F.lit(lo), F.lit(hi))
+
+
+def week_dates(low: str | None, high: str | None) -> tuple[date | None, date | None]:
+    """The dates [first, end) of the ISO weeks ``low`` to ``high`` (``YYYYWW``, inclusive;
+    None: no bound). A filter on them can be pushed to a scan that has the date."""
+    first = date.fromisocalendar(int(low[:4]), int(low[4:]), 1) if low else None
+    last = date.fromisocalendar(int(high[:4]), int(high[4:]), 1) if high else None
+    return first, last + timedelta(weeks=1) if last else None

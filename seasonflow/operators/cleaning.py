@@ -93,8 +93,8 @@ def parameter_filter(df: DataFrame, params: DataFrame, category: str = "COMMON",
     active rows give one); a missing product list keeps nothing.
 
     Nothing is collected: the two scalars are scalar subqueries over a one-row global
-    aggregate, the product list is a left-semi join (broadcast when its measured size
-    allows).
+    aggregate, the product list is a left-semi join that the planner broadcasts if the
+    size it sees at run time allows.
     """
     active = params.filter((F.col("use_yn") == "Y") & (F.col("param_category") == category))
     # filter before aggregating so the optimizer can prune parameter sources that

@@ -45,7 +45,7 @@ def with_product_name(fact: DataFrame, master: DataFrame, how: str = "left",
     """JN-1/2/5: attach the master's name column to every fact row.
 
     The master is renamed to the fact's key so the join is a plain equi-join and the
-    key appears once; the lookup side is broadcast only if its size check passes.
+    key appears once; the planner decides how, on the sizes it sees at run time.
     """
     m = master.select(F.col(master_key).alias(product), F.col(name).alias(out))
     return lookup_join(fact, m, product, how)

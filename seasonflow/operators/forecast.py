@@ -2,9 +2,8 @@
 
 Input: one row per (region, product, yearweek) with ``qty`` and ``pro_percent``.
 Three pipelines (VectorAssembler + DecisionTree / LinearRegression / RandomForest)
-are fitted on a time split and scored with RMSE and MAE. The prepared input is
-materialised once (checkpointed to the shared folder) because every fit makes many
-passes over it; otherwise each pass would recompute the upstream joins.
+are fitted on a time split and scored with RMSE and MAE. Materialise the prepared input
+once and split that: every fit makes many passes over it.
 """
 
 from __future__ import annotations
@@ -19,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ..functions.yearweek import week_of, yearweek_int, yearweek_range
 from .enrich import flag, holiday_flag
-from .joins import materialize
 
 FEATURES = ("week", "pro_percent", "holidaycode")
 MODELS = ("decision_tree", "linear_regression", "random_forest")
@@ -77,9 +75,10 @@ def fit(train: DataFrame, kind: str, **kw) -> PipelineModel:
     return estimator(kind, **kw).fit(train)
 
 
-def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """Predictions ordered by yearweek (SRT-1), vector column dropped."""
-    return model.transform(test).drop("features").orderBy(F.asc("yearweek"), "regionid", "product")
+def predict(model: PipelineModel, test: DataFrame, ordered: bool = True) -> DataFrame:
+    """Predictions with the vector column dropped; ``ordered`` sorts them by yearweek (SRT-1)."""
+    out = model.transform(test).drop("features")
+    return out.orderBy(F.asc("yearweek"), "regionid", "product") if ordered else out
 
 
 def error_metrics(pred: DataFrame, label: str = "qty", prediction: str = "prediction") -> DataFrame:
@@ -109,10 +108,10 @@ def tree_description(model: PipelineModel) -> str:
 def compare(train: DataFrame, test: DataFrame, kinds=MODELS, **kw) -> DataFrame:
     """ML-9: (model, n, rmse, mae) for each model on the same split.
 
-    The inputs are checkpointed once; the independent fits are submitted from
-    driver threads so their Spark jobs share the cluster instead of queueing.
+    Every fit passes over ``train`` many times: split a materialised input. The
+    independent fits are submitted from driver threads so their Spark jobs share the
+    cluster instead of queueing.
     """
-    train, test = materialize(train), materialize(test)
     with ThreadPoolExecutor(max_workers=len(kinds)) as pool:
         models = list(pool.map(lambda kind: fit(train, kind, **kw), kinds))
     out = None

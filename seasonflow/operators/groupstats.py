@@ -5,8 +5,8 @@ The reference groups rows per key on one executor and loops over them. Here:
 - flat statistics are ``groupBy().agg()`` with partial (map-side) aggregation, so a
   hot key is pre-aggregated in every task before the shuffle;
 - "stretched" statistics (every row carries its group's numbers) are the flat result
-  attached back with :func:`joins.attach` (materialised, then broadcast when its
-  measured size allows). No window over an unbounded key partition is used, so a key
+  attached back with :func:`joins.attach` (null-safe on the keys; AQE broadcasts it
+  when its real size allows). No window over an unbounded key partition is used, so a key
   holding a third of all rows is never one task;
 - nested results collect per-key lists of *series* rows (one row per key and week,
   see ``seasonality.series``), so each list is bounded by the number of weeks.
@@ -57,7 +57,7 @@ def group_stats(df: DataFrame, keys, value: str = "qty", stats=STATS) -> DataFra
 
 def stretch_stats(df: DataFrame, keys, value: str = "qty", stats=("size", "average")) -> DataFrame:
     """Every row with its group's statistics (WIN-1/2)."""
-    return attach(df, group_stats(df, keys, value, stats), names(keys), "inner")
+    return attach(df, group_stats(df, keys, value, stats), names(keys))
 
 
 def ratio_to_mean(df: DataFrame, keys, value: str = "qty", out: str = "ratio",

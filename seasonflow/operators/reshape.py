@@ -55,13 +55,17 @@ def shares_with_residual(df: DataFrame, group, item: str, value: str, total: flo
     Per ``group``: ``share = round_half_up(total * value / sum(value), digits)``; the
     rounding residual ``round_half_up(total - sum(share), digits)`` is added to the
     alphabetically first ``item`` so that the rounded shares add up to ``total``.
+    Repeated items are summed first: there is one row for each (group, item). A group
+    whose values sum to zero has null shares; a null group is a group.
     Both per-group numbers are partial aggregates attached back by key (no window
     over a whole group, so a group with very many items is not one task).
     """
     group = names(group)
-    sums = df.groupBy(*group).agg(F.sum(value).alias("_group_sum"))
-    shares = attach(df, sums, group).withColumn(
-        out, round_half_up(F.lit(total) * F.col(value) / F.col("_group_sum"), digits)
+    rows = df.groupBy(*group, item).agg(F.sum(value).alias(value))
+    sums = rows.groupBy(*group).agg(F.sum(value).alias("_group_sum"))
+    whole = F.nullif(F.col("_group_sum"), F.lit(0.0))
+    shares = attach(rows, sums, group).withColumn(
+        out, round_half_up(F.lit(total) * F.col(value) / whole, digits)
     ).drop("_group_sum")
     fix = shares.groupBy(*group).agg(
         round_half_up(F.lit(total) - F.sum(out), digits).alias("_residual"),

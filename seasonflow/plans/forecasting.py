@@ -36,7 +36,8 @@ inp AS (
 
 
 def _input(spark, sf_dir):
-    return M.model_input(weekly_features(spark, sf_dir), P.YEARWEEK_FROM, P.YEARWEEK_TO)
+    weeks = (P.YEARWEEK_FROM, P.YEARWEEK_TO)
+    return M.model_input(weekly_features(spark, sf_dir, weeks), *weeks)
 
 
 @query("ml_input", oracle=_FEATURES_SQL + "SELECT * FROM inp")
@@ -70,10 +71,33 @@ def ml_metrics(spark, sf_dir):
     return m.select("n", report("rmse").alias("rmse"), report("mae").alias("mae"))
 
 
-def _predictions(spark, sf_dir, kind):
+def _predictions(spark, sf_dir, kind, ordered=True):
     train, test = M.time_split(materialize(_input(spark, sf_dir)), P.SPLIT_YEARWEEK)
     model = M.fit(train, kind)
-    return M.predict(model, test).select("regionid", "product", "yearweek", "qty", "prediction")
+    return M.predict(model, test, ordered).select(
+        "regionid", "product", "yearweek", "qty", "prediction")
+
+
+# Ordinary least squares of qty on three features by the normal equations of the centred
+# moments, solved by Cramer's rule.
+_OLS_SQL = _FEATURES_SQL + f""",
+tr AS (SELECT week AS a, pro_percent AS b, CAST(holidaycode AS DOUBLE) AS c, qty AS y
+       FROM inp WHERE CAST(yearweek AS INTEGER) <= {P.SPLIT_YEARWEEK}),
+mo AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my,
+              var_pop(a) AS aa, var_pop(b) AS bb, var_pop(c) AS cc,
+              covar_pop(a, b) AS ab, covar_pop(a, c) AS ac, covar_pop(b, c) AS bc,
+              covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, covar_pop(c, y) AS cy FROM tr),
+det AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS d
+        FROM mo),
+co AS (SELECT ma, mb, mc, my,
+         (ay * (bb * cc - bc * bc) - ab * (by_ * cc - bc * cy) + ac * (by_ * bc - bb * cy)) / d AS ka,
+         (aa * (by_ * cc - bc * cy) - ay * (ab * cc - bc * ac) + ac * (ab * cy - by_ * ac)) / d AS kb,
+         (aa * (bb * cy - by_ * bc) - ab * (ab * cy - by_ * ac) + ay * (ab * bc - bb * ac)) / d AS kc
+       FROM det),
+pr AS (SELECT regionid, product, yearweek, qty,
+              my + ka * (week - ma) + kb * (pro_percent - mb) + kc * (holidaycode - mc) AS p
+       FROM inp, co WHERE CAST(yearweek AS INTEGER) > {P.SPLIT_YEARWEEK})
+"""
 
 
 @query("ml_dt")
@@ -82,10 +106,23 @@ def ml_dt(spark, sf_dir):
     return _predictions(spark, sf_dir, "decision_tree")
 
 
-@query("ml_lr")
+@query("ml_lr", oracle=_OLS_SQL
+       + "SELECT regionid, product, yearweek, qty, round(p, 4) AS prediction FROM pr")
 def ml_lr(spark, sf_dir):
     """ML-5: linear-regression pipeline."""
-    return _predictions(spark, sf_dir, "linear_regression")
+    return _predictions(spark, sf_dir, "linear_regression").withColumn(
+        "prediction", F.round("prediction", 4))
+
+
+@query("ml_compare_linear", oracle=_OLS_SQL + """
+SELECT count(*) AS n, round(sqrt(avg((qty - p) * (qty - p))), 4) AS rmse,
+       round(avg(abs(qty - p)), 4) AS mae FROM pr
+""")
+def ml_compare_linear(spark, sf_dir):
+    """ML-9: the linear model's row of the comparison."""
+    split = M.time_split(materialize(_input(spark, sf_dir)), P.SPLIT_YEARWEEK)
+    row = M.compare(*split, kinds=("linear_regression",))
+    return row.select("n", F.round("rmse", 4).alias("rmse"), F.round("mae", 4).alias("mae"))
 
 
 @query("ml_rf")
@@ -97,13 +134,13 @@ def ml_rf(spark, sf_dir):
 @query("ml_dt_long")
 def ml_dt_long(spark, sf_dir):
     """ML-11: decision-tree actual vs predicted as the reference's long table."""
-    return M.actual_vs_predicted(_predictions(spark, sf_dir, "decision_tree"))
+    return M.actual_vs_predicted(_predictions(spark, sf_dir, "decision_tree", ordered=False))
 
 
 @query("ml_compare")
 def ml_compare(spark, sf_dir):
     """ML-9: RMSE and MAE of the three models on the same split."""
-    train, test = M.time_split(_input(spark, sf_dir), P.SPLIT_YEARWEEK)
+    train, test = M.time_split(materialize(_input(spark, sf_dir)), P.SPLIT_YEARWEEK)
     return M.compare(train, test)
 
 
@@ -113,11 +150,7 @@ FROM inp WHERE CAST(yearweek AS INTEGER) <= {P.SPLIT_YEARWEEK}
 """)
 def ml_lr_one_feature(spark, sf_dir):
     """ML-5 with one feature: coefficients equal ordinary least squares."""
-    train, _ = M.time_split(_input(spark, sf_dir), P.SPLIT_YEARWEEK)
-    model = M.fit(train, "linear_regression", features=("week",))
-    lr = model.stages[-1]
-    # The coefficients are two numbers on the driver; they are returned through a
-    # one-row aggregate over the training rows so the result stays a Spark plan.
-    return train.agg(F.count(F.lit(1)).alias("_n")).select(
-        F.round(F.lit(float(lr.coefficients[0])), 6).alias("slope"),
-        F.round(F.lit(float(lr.intercept)), 6).alias("intercept"))
+    train, _ = M.time_split(materialize(_input(spark, sf_dir)), P.SPLIT_YEARWEEK)
+    lr = M.fit(train, "linear_regression", features=("week",)).stages[-1]
+    return spark.range(1).select(F.round(F.lit(float(lr.coefficients[0])), 6).alias("slope"),
+                                 F.round(F.lit(float(lr.intercept)), 6).alias("intercept"))

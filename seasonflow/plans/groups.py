@@ -106,9 +106,10 @@ def win_group_mean(spark, sf_dir):
 @query("win_group_dispersion", oracle=with_sellout(f"""
 WITH g AS (SELECT regionid, product, count(*) AS size, avg(qty) AS average,
                   {_DISP_SQL} AS dispersion FROM clean GROUP BY ALL)
-SELECT {_KEY_SQL} AS keycol, yearweek, qty, size, round(average, 6) AS average,
+SELECT clean.regionid || '_' || clean.product AS keycol, yearweek, qty, size, round(average, 6) AS average,
        round(dispersion, 6) AS dispersion
-FROM clean JOIN g USING (regionid, product)
+FROM clean JOIN g ON clean.regionid IS NOT DISTINCT FROM g.regionid
+                  AND clean.product IS NOT DISTINCT FROM g.product
 """, clean=True))
 def win_group_dispersion(spark, sf_dir):
     """WIN-2: every row with its key's size, mean and dispersion."""
@@ -120,9 +121,10 @@ def win_group_dispersion(spark, sf_dir):
 @query("win_ratio_to_mean", oracle=with_sellout(f"""
 WITH g AS (SELECT regionid, product, count(*) AS size, avg(qty) AS average,
                   stddev_samp(qty) AS stddev FROM clean GROUP BY ALL)
-SELECT {_KEY_SQL} AS keycol, yearweek, qty, size, round(average, 6) AS average,
+SELECT clean.regionid || '_' || clean.product AS keycol, yearweek, qty, size, round(average, 6) AS average,
        round(stddev, 6) AS stddev, round(qty / nullif(average, 0), 6) AS ratio
-FROM clean JOIN g USING (regionid, product)
+FROM clean JOIN g ON clean.regionid IS NOT DISTINCT FROM g.regionid
+                  AND clean.product IS NOT DISTINCT FROM g.product
 """, clean=True))
 def win_ratio_to_mean(spark, sf_dir):
     """WIN-3: every row with size, mean, sample stddev and its ratio to the mean."""

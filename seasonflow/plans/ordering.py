@@ -55,7 +55,7 @@ def reshape_measures(spark, sf_dir):
     df = materialize(_actual_vs_ma(spark, sf_dir).select(*_ids(), "qty", "ma"))
     return R.measures_union(df, ["REGIONID", "PRODUCT", "YEARWEEK"], "qty", "ma")
 
-@query("reshape_unpivot", headline=True, oracle=with_sellout(_LONG_SQL, clean=True))
+@query("reshape_unpivot", oracle=with_sellout(_LONG_SQL, clean=True))
 def reshape_unpivot(spark, sf_dir):
     """SET-2 / ML-11: the same long table from a single scan with ``unpivot``."""
     df = _actual_vs_ma(spark, sf_dir).select(*_ids(), "qty", "ma")

@@ -29,9 +29,11 @@ def _lists(spark, sf_dir, value=None):
         key_column().alias("keycol"), "arr")
 
 
-def _products_per_region(spark, sf_dir):
-    return sellout(spark, sf_dir).groupBy("regionid").agg(
-        F.sort_array(F.collect_set("product")).alias("products"))
+def _weeks(spark, sf_dir):
+    """Per key: its yearweeks in order, a list bounded by the calendar."""
+    return series(clean_sellout(spark, sf_dir), KEYS).groupBy(*KEYS).agg(
+        A.ordered_list("yearweek", yearweek_int("yearweek")).alias("weeks")).select(
+        key_column().alias("keycol"), "weeks")
 
 
 # --- scalars -----------------------------------------------------------------------
@@ -111,7 +113,7 @@ f AS (SELECT regionid, floor((100.0 - sum(share)) * 100.0 + 0.5) / 100.0 AS resi
              min(product) AS first_item FROM s GROUP BY regionid)
 SELECT s.regionid, s.product, s.qty,
        round(CASE WHEN s.product = f.first_item THEN s.share + f.residual ELSE s.share END, 6) AS share
-FROM s JOIN f USING (regionid)
+FROM s JOIN f ON s.regionid IS NOT DISTINCT FROM f.regionid
 """))
 def fn_share_residual(spark, sf_dir):
     """FN-12: product shares of each region's volume, summing to exactly 100."""
@@ -152,13 +154,13 @@ def arr_transform(spark, sf_dir):
         "keycol", F.col("pos").cast("bigint").alias("pos"), report("price").alias("price"))
 
 
-@query("arr_fold_concat", oracle=with_sellout("""
-SELECT regionid, string_agg(product, '' ORDER BY product) AS names
-FROM (SELECT DISTINCT regionid, product FROM sellout) GROUP BY regionid
-"""))
+@query("arr_fold_concat", oracle=with_sellout(f"""
+SELECT {_KEY_SQL} AS keycol, string_agg(yearweek, '' ORDER BY CAST(yearweek AS INTEGER)) AS names
+FROM (SELECT DISTINCT regionid, product, yearweek FROM clean) GROUP BY regionid, product
+""", clean=True))
 def arr_fold_concat(spark, sf_dir):
-    """FN-15: product names of a region folded into one string."""
-    return _products_per_region(spark, sf_dir).select("regionid", A.fold_concat("products").alias("names"))
+    """FN-15: the yearweeks of a key folded into one string."""
+    return _weeks(spark, sf_dir).select("keycol", A.fold_concat("weeks").alias("names"))
 
 
 @query("arr_reduce", oracle=with_sellout(f"""
@@ -186,37 +188,42 @@ def arr_explode(spark, sf_dir):
 
 
 @query("arr_concat_reverse_zip", oracle=with_sellout(_SERIES_SQL + f"""
-, r AS (SELECT {_KEY_SQL} AS keycol, qty, {_RN} AS rn,
-               count(*) OVER (PARTITION BY regionid, product) AS n FROM s)
-SELECT keycol, rn - 1 AS pos, qty FROM r WHERE rn <= 3
-UNION ALL
-SELECT keycol, 3 + (n - rn) AS pos, qty FROM r WHERE rn > n - 3
+SELECT {_KEY_SQL} AS keycol, {_RN} - 1 AS pos, yearweek, qty,
+       round(avg(qty) OVER (PARTITION BY regionid, product ORDER BY CAST(yearweek AS INTEGER)
+                            ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING), 6) AS ma
+FROM s
 """, clean=True))
 def arr_concat_reverse_zip(spark, sf_dir):
-    """FN-18: first three ++ reversed last three, zipped with their index."""
-    lists = _lists(spark, sf_dir).select("keycol", A.edges("arr", 3).alias("arr"))
-    return lists.select("keycol", F.posexplode("arr").alias("pos", "qty")).select(
-        "keycol", F.col("pos").cast("bigint").alias("pos"), "qty")
-
-
-@query("arr_contains", oracle=with_sellout("""
-SELECT regionid, count(DISTINCT product) AS n_products, bool_or(product = 'PROMO') AS has_promo
-FROM sellout GROUP BY regionid
-"""))
+    """FN-18: ``pre ++ inner ++ post.reverse`` over whole series, zipped with their rows."""
+    s = series(clean_sellout(spark, sf_dir), KEYS)
+    by_week = yearweek_int("yearweek")
+    lists = s.groupBy(*KEYS).agg(A.ordered_list("yearweek", by_week).alias("yearweek"),
+                                 A.ordered_list("qty", by_week).alias("qty"))
+    rows = A.zipped(yearweek="yearweek", qty="qty", ma=A.edged_means("qty", P.ORDER // 2))
+    return lists.select(key_column().alias("keycol"), F.posexplode(rows).alias("pos", "r")).select(
+        "keycol", F.col("pos").cast("bigint").alias("pos"), "r.yearweek", "r.qty",
+        report(F.col("r.ma")).alias("ma"))
+
+
+@query("arr_contains", oracle=with_sellout(f"""
+SELECT {_KEY_SQL} AS keycol, count(DISTINCT yearweek) AS n_weeks,
+       bool_or(yearweek = '{P.YEARWEEK_FROM}') AS has_week
+FROM clean GROUP BY regionid, product
+""", clean=True))
 def arr_contains(spark, sf_dir):
     """FN-19: array to set and membership test."""
-    p = _products_per_region(spark, sf_dir)
-    return p.select("regionid", F.size(F.array_distinct("products")).cast("bigint").alias("n_products"),
-                    A.as_set_contains("products", F.lit(P.PRODUCTS[0])).alias("has_promo"))
+    return _weeks(spark, sf_dir).select(
+        "keycol", F.size(F.array_distinct("weeks")).cast("bigint").alias("n_weeks"),
+        A.as_set_contains("weeks", F.lit(P.YEARWEEK_FROM)).alias("has_week"))
 
 
-@query("arr_join_split", oracle=with_sellout("""
-SELECT regionid, string_agg(product, ',' ORDER BY product) AS joined,
-       CAST(len(string_split(string_agg(product, ',' ORDER BY product), ',')) AS BIGINT) AS n_parts
-FROM (SELECT DISTINCT regionid, product FROM sellout) GROUP BY regionid
-"""))
+@query("arr_join_split", oracle=with_sellout(f"""
+SELECT {_KEY_SQL} AS keycol, string_agg(yearweek, ',' ORDER BY CAST(yearweek AS INTEGER)) AS joined,
+       count(*) AS n_parts
+FROM (SELECT DISTINCT regionid, product, yearweek FROM clean) GROUP BY regionid, product
+""", clean=True))
 def arr_join_split(spark, sf_dir):
     """FN-20: join a list with a delimiter and split it back."""
-    p = _products_per_region(spark, sf_dir)
-    return p.select("regionid", F.array_join("products", ",").alias("joined"),
-                    F.size(A.join_split("products", ",")).cast("bigint").alias("n_parts"))
+    return _weeks(spark, sf_dir).select(
+        "keycol", F.array_join("weeks", ",").alias("joined"),
+        F.size(A.join_split("weeks", ",")).cast("bigint").alias("n_parts"))

@@ -27,7 +27,7 @@ r AS (SELECT *, CASE WHEN ma <> 0 THEN qty / ma ELSE 1.0 END AS ratio FROM m)
 """
 
 
-@query("seasonality_index", headline=True, oracle=with_sellout(_RATIO_SQL + """
+@query("seasonality_index", oracle=with_sellout(_RATIO_SQL + """
 SELECT regionid AS REGIONID, product AS PRODUCT, substring(yearweek, 5, 2) AS WEEK,
        round(avg(qty), 6) AS AVG_VOLUME, round(avg(ma), 6) AS AVG_MA,
        round(avg(ratio), 6) AS AVG_RATIO
@@ -62,7 +62,7 @@ def seasonality_index_products(spark, sf_dir):
         report("avg_ma").alias("AVG_MA"), report("avg_ratio").alias("AVG_RATIO"))
 
 
-@query("seasonal_ma", headline=True, oracle=with_sellout(_RATIO_SQL + """
+@query("seasonal_ma", oracle=with_sellout(_RATIO_SQL + """
 SELECT regionid, product, yearweek, qty, round(ma, 6) AS ma FROM r
 """, clean=True))
 def seasonal_ma(spark, sf_dir):

@@ -9,7 +9,7 @@ from ..functions.yearweek import yearweek_range
 from ..operators import cleaning as C
 from ..operators import enrich as E
 from ..operators.joins import lookup_join
-from ..sources.tables import product_master, region_master, sellout, table
+from ..sources.tables import part_names, product_master, region_master, sellout, table
 from . import params as P
 from .common import parameter_table
 from .registry import PARAMS_SQL, query, with_sellout
@@ -19,7 +19,7 @@ _IN = "('PROMO', 'SMALL')"
 _MASTER_SQL = """
 SELECT DISTINCT p_type AS product_id,
        upper(substring(p_type, 1, 1)) || lower(substring(p_type, 2)) AS product_name
-FROM part WHERE p_size <= 25
+FROM part
 """
 _RAW_SQL = f"""
 WITH mst AS ({_MASTER_SQL}),
@@ -128,7 +128,7 @@ def _sql_filter(spark, sf_dir):
           AND try_cast(substring(yearweek, 1, 4) AS INT) >= :min_year
           AND try_cast(substring(yearweek, 5, 2) AS INT) != :bad_week
           AND product IN (:p1, :p2)""",
-               frames={"keydata": sellout(spark, sf_dir)},
+               frames={"keydata": sellout(spark, sf_dir, weeks=(f"{P.MIN_YEAR}01", None))},
                uplift=P.UPLIFT, min_year=P.MIN_YEAR, bad_week=P.SQL_BAD_WEEK,
                p1=P.PRODUCTS[0], p2=P.PRODUCTS[1])
 
@@ -215,7 +215,8 @@ SELECT {_BASE} FROM sellout WHERE yearweek BETWEEN '{P.YEARWEEK_FROM}' AND '{P.Y
 """))
 def flt_yearweek_between(spark, sf_dir):
     """FLT-9: inclusive lexicographic range on the yearweek string."""
-    return _base(sellout(spark, sf_dir)).filter(yearweek_range(P.YEARWEEK_FROM, P.YEARWEEK_TO))
+    weeks = (P.YEARWEEK_FROM, P.YEARWEEK_TO)
+    return _base(sellout(spark, sf_dir, weeks)).filter(yearweek_range(*weeks))
 
 
 @query("flt_year_week_sql", oracle=with_sellout(_SQL_FILTER))
@@ -248,14 +249,13 @@ def flt_param_driven(spark, sf_dir):
 
 def _star(spark, sf_dir, how):
     items = table(spark, sf_dir, "lineitem")
-    parts = (table(spark, sf_dir, "part", "p_partkey", "p_name", "p_size")
-             .filter(F.col("p_size") <= 25).select("p_partkey", "p_name"))
-    j = lookup_join(items, parts, items["l_partkey"] == parts["p_partkey"], how)
+    parts, small = part_names(spark, sf_dir)
+    j = lookup_join(items, parts, items["l_partkey"] == parts["p_partkey"], how, small)
     return j.select(*[items[c] for c in items.columns], parts["p_name"])
 
 
 _STAR_SQL = """
-SELECT a.*, b.p_name FROM lineitem a {how} JOIN (SELECT * FROM part WHERE p_size <= 25) b
+SELECT a.*, b.p_name FROM lineitem a {how} JOIN part b
 ON a.l_partkey = b.p_partkey
 """
 
@@ -275,7 +275,7 @@ def join_inner_star(spark, sf_dir):
 _REGION_SQL = """
 SELECT a.regionid, a.product, a.yearweek, a.qty, b.regionkey
 FROM sellout a {how} JOIN (SELECT r_name AS regionid, CAST(r_regionkey AS BIGINT) AS regionkey
-                           FROM region WHERE r_regionkey < 3) b
+                           FROM region) b
 ON a.regionid = b.regionid
 """
 
@@ -283,11 +283,13 @@ ON a.regionid = b.regionid
 @query("join_left_region", oracle=with_sellout(_REGION_SQL.format(how="LEFT")))
 def join_left_region(spark, sf_dir):
     """JN-3: fact left-joined to the region master, projected."""
-    return lookup_join(_base(sellout(spark, sf_dir)), region_master(spark, sf_dir), "regionid", "left")
+    master, small = region_master(spark, sf_dir)
+    return lookup_join(_base(sellout(spark, sf_dir)), master, "regionid", "left", small)
 
 
 @query("join_inner_region", oracle=with_sellout(_REGION_SQL.format(how="INNER")))
 def join_inner_region(spark, sf_dir):
     """JN-4: the same with an inner join."""
-    return lookup_join(_base(sellout(spark, sf_dir)), region_master(spark, sf_dir), "regionid", "inner")
+    master, small = region_master(spark, sf_dir)
+    return lookup_join(_base(sellout(spark, sf_dir)), master, "regionid", "inner", small)
 

@@ -6,8 +6,9 @@ The library never creates a session on its own: callers (tests, ``bench.py``) us
 
 from __future__ import annotations
 
+import atexit
 import math
-import os
+import shutil
 import tempfile
 import uuid
 
@@ -33,7 +34,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32m")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
@@ -93,14 +94,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(
                 f"{CHECKPOINT_CONF} is not set; point it at a shared folder (HDFS/S3/...)")
         configured = tempfile.mkdtemp(prefix="seasonflow-ckpt-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (for written intermediate tables)."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path under the shared checkpoint folder, on the file system it names."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this session has written under the shared checkpoint folder.
+
+    Spark makes a folder of its own there for every context, so nothing of another
+    session is touched. Results that were not saved elsewhere can't be read afterwards.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        path = spark._jvm.org.apache.hadoop.fs.Path(current)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        sc.setCheckpointDir(current.rstrip("/").rsplit("/", 1)[0])

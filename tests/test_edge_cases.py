@@ -138,12 +138,44 @@ def test_round_half_up_negative_halves(spark):
 
 
 def test_share_residual_sums_to_total(spark):
-    # the reference's three literal shares: 15.13 + 15.15 + 69.73 = 100.01 -> first gets -0.01
-    df = spark.createDataFrame([("g", "a", 15.125222), ("g", "b", 15.147218), ("g", "c", 69.72756)],
+    # three equal shares round to 33.33 each: the first item gets the missing 0.01
+    df = spark.createDataFrame([("g", "x", 7.0), ("g", "y", 7.0), ("g", "z", 7.0)],
                                "grp string, item string, v double")
     got = {r["item"]: r["share"] for r in R.shares_with_residual(df, "grp", "item", "v").collect()}
-    assert got["a"] == pytest.approx(15.12) and got["b"] == 15.15 and got["c"] == 69.73
-    assert sum(got.values()) == pytest.approx(100.0)
+    assert got["x"] == pytest.approx(33.34) and got["y"] == got["z"] == 33.33
+
+
+def test_shares_of_awkward_groups(spark):
+    rows = [(None, "a", 1.0), (None, "b", 3.0), ("zero", "a", 0.0), ("zero", "b", 0.0),
+            ("twice", "a", 1.0), ("twice", "a", 1.0), ("twice", "b", 4.0)]
+    df = spark.createDataFrame(rows, "grp string, item string, v double")
+    got = {(r["grp"], r["item"]): r["share"]
+           for r in R.shares_with_residual(df, "grp", "item", "v").collect()}
+    assert got[None, "a"] == 25.0 and got[None, "b"] == 75.0
+    assert got["zero", "a"] is None and got["zero", "b"] is None
+    assert got["twice", "a"] == pytest.approx(33.33) and got["twice", "b"] == pytest.approx(66.67)
+    assert len(got) == 6
+
+
+def test_stretched_statistics_keep_null_keys(spark):
+    from seasonflow.operators import groupstats as G
+
+    rows = [(None, "p", 1.0), (None, "p", 3.0), ("r", None, 5.0), ("r", "p", 7.0)]
+    df = spark.createDataFrame(rows, "regionid string, product string, qty double")
+    got = G.stretch_stats(df, ["regionid", "product"], stats=("size", "average")).collect()
+    assert sorted((r["qty"], r["size"], r["average"]) for r in got) == [
+        (1.0, 2, 2.0), (3.0, 2, 2.0), (5.0, 1, 5.0), (7.0, 1, 7.0)]
+    assert G.ratio_to_mean(df, ["regionid", "product"]).count() == 4
+
+
+def test_joins_left_and_inner_differ_on_unmatched_rows(spark):
+    fact = spark.createDataFrame([("A", 1.0), ("B", 2.0), (None, 3.0)], "product string, qty double")
+    master = spark.createDataFrame([("A", "Name A"), ("C", "Name C")],
+                                   "product_id string, product_name string")
+    left = E.with_product_name(fact, master, "left").collect()
+    inner = E.with_product_name(fact, master, "inner").collect()
+    assert {(r["product"], r["productname"]) for r in left} == {("A", "Name A"), ("B", None), (None, None)}
+    assert [(r["product"], r["productname"]) for r in inner] == [("A", "Name A")]
 
 
 def test_grade_tiers(spark):
@@ -182,24 +214,38 @@ def test_top_k_total_order(spark):
     assert got == [2, 5, 8]
 
 
-def test_arrays_literal_fixtures(spark):
+def test_array_functions(spark):
     from seasonflow.functions import arrays as A
 
-    df = spark.createDataFrame([([22, 33, 50, 70, 90, 100], [1000.0, 1200.0, 1300.0, 1500.0, 10000.0])],
+    df = spark.createDataFrame([([10, 7, 20, 31, 40], [5.0, 15.0, 25.0])],
                                "ints array<int>, prices array<double>")
+    texts = F.transform("ints", lambda x: x.cast("string"))
     r = df.select(A.keep_last_digit_zero("ints").alias("f"), A.discounted("prices", 0.2).alias("d"),
                   A.reduce_sum("prices").alias("s"), A.reduce_max("ints").alias("m"),
-                  A.edges("ints", 2).alias("e"), A.fold_concat(F.transform("ints", lambda x: x.cast("string"))).alias("c"),
-                  A.as_set_contains("ints", F.lit(50)).alias("has"), A.join_split("ints").alias("js")).first()
-    assert r["f"] == [50, 70, 90, 100]
-    assert r["d"][:2] == [800.0, 960.0]
-    assert r["s"] == 15000.0 and r["m"] == 100
-    assert r["e"] == [22, 33, 100, 90]
-    assert r["c"] == "2233507090100" and r["has"] is True
-    assert r["js"] == ["22", "33", "50", "70", "90", "100"]
-    p = df.select(A.reduce_product(F.slice("prices", 1, 2)).alias("p"),
+                  A.fold_concat(texts).alias("c"), A.fold_concat(texts, "-").alias("c2"),
+                  A.as_set_contains("ints", F.lit(31)).alias("has"),
+                  A.join_split("ints").alias("js")).first()
+    assert r["f"] == [10, 20, 40] and r["d"] == [4.0, 12.0, 20.0]
+    assert r["s"] == 45.0 and r["m"] == 40
+    assert r["c"] == "107203140" and r["c2"] == "10-7-20-31-40" and r["has"] is True
+    assert r["js"] == ["10", "7", "20", "31", "40"]
+    p = df.select(A.reduce_product("prices").alias("p"),
                   A.fold("ints", F.lit(0), lambda a, b: a - b).alias("m")).first()
-    assert p["p"] == 1200000.0 and p["m"] == -365
+    assert p["p"] == 1875.0 and p["m"] == -108
+
+
+def test_array_functions_on_empty_and_short_arrays(spark):
+    from seasonflow.functions import arrays as A
+
+    df = spark.createDataFrame([([],), ([4.0],), ([4.0, 8.0],), ([1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0],)],
+                               "a array<double>")
+    got = df.select(A.reduce_max("a").alias("m"), A.edged_means("a", 3).alias("e"),
+                    A.fold_concat(F.transform("a", lambda x: x.cast("int").cast("string")), ",").alias("c"),
+                    A.zipped(x="a", y=A.edged_means("a", 3)).alias("z")).collect()
+    assert [r["m"] for r in got] == [None, 4.0, 8.0, 7.0]
+    assert [r["e"] for r in got] == [[], [4.0], [6.0, 6.0], [2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 5.5]]
+    assert [r["c"] for r in got] == ["", "4", "4,8", "1,2,3,4,5,6,7"]
+    assert [(z["x"], z["y"]) for z in got[2]["z"]] == [(4.0, 6.0), (8.0, 6.0)]
 
 
 def test_recommended_conf_sizes_partitions():

@@ -1,9 +1,5 @@
-"""WIN-5/6/7: the window formulation equals a naive re-statement of the series rule.
-
-The naive version follows the reference's description: ``sliding(order)`` means,
-a second ``sliding(2)`` mean for even orders, then ``h`` edge values at each end that
-average the rows existing in ``[p-h, p+h]``.
-"""
+"""WIN-5/6/7: the window formulation equals the definition of the centred mean, position by
+position."""
 
 import random
 
@@ -16,20 +12,18 @@ from seasonflow.operators import seasonality as S
 
 
 def naive_ma(values, order):
-    n = len(values)
+    """From the definition: position p is the mean over max(0, p-h) .. min(n-1, p+h), with
+    h = order // 2; an even order's full windows weigh their two ends by half."""
+    n, h = len(values), order // 2
     if order > n or order <= 2:
         raise ValueError
-    inner = [sum(values[i:i + order]) / order for i in range(n - order + 1)]
-    if order % 2 == 0:
-        inner = [(inner[i] + inner[i + 1]) / 2 for i in range(len(inner) - 1)]
-    h = order // 2
-    last = n - 1
-    pre = [sum(values[0:i + h + 1]) / len(values[0:i + h + 1]) for i in range(h)]
-    post = []
-    for i in range(h):
-        window = values[last - h - i:last + 1]
-        post.append(sum(window) / len(window))
-    return pre + inner + list(reversed(post))
+    out = []
+    for p in range(n):
+        window = {i: 1.0 for i in range(max(0, p - h), min(n - 1, p + h) + 1)}
+        if order % 2 == 0 and h <= p < n - h:
+            window[p - h] = window[p + h] = 0.5
+        out.append(sum(values[i] * w for i, w in window.items()) / sum(window.values()))
+    return out
 
 
 def spark_ma(spark, values, order):

@@ -58,19 +58,18 @@ def test_sellout_aggregates_before_its_shuffle(spark):
     assert "HashAggregate" in top[2] and "Exchange" in top[3] and "HashAggregate" in top[4]
 
 
-def test_lookup_broadcast_is_size_checked(spark):
+def test_lookup_broadcast_is_asked_for(spark):
     from seasonflow.operators.joins import lookup_join
 
     fact = table(spark, SF_SMALL, "lineitem", "l_partkey")
     dim = table(spark, SF_SMALL, "part", "p_partkey").withColumnRenamed("p_partkey", "l_partkey")
-    assert count_nodes(lookup_join(fact, dim, "l_partkey", "inner"), "BroadcastExchange") == 1
-    big = lookup_join(fact, dim, "l_partkey", "inner", max_broadcast_rows=10)
-    assert count_nodes(big, "BroadcastExchange") == 0
+    assert count_nodes(lookup_join(fact, dim, "l_partkey", "inner", True), "BroadcastExchange") == 1
+    assert count_nodes(lookup_join(fact, dim, "l_partkey", "inner"), "BroadcastExchange") == 0
 
 
 def test_hot_key_is_not_one_task(spark):
-    """A key holding a third of all rows: stretched stats broadcast the small
-    aggregate instead of shuffling (or windowing) the rows by key."""
+    """A key holding a third of all rows: AQE sees that the aggregate is small
+    and broadcasts it, so the rows are not joined (or windowed) by key."""
     from pyspark.sql import functions as F
 
     from seasonflow.operators import groupstats as G
@@ -80,11 +79,9 @@ def test_hot_key_is_not_one_task(spark):
         F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 997).cast("string")).alias("regionid"),
         F.lit("P").alias("product"), (F.col("id") % 50).cast("double").alias("qty"))
     out = G.stretch_stats(df, ["regionid", "product"], stats=("size", "average"))
-    assert count_nodes(out, "BroadcastHashJoin") == 1
+    assert len(out.collect()) == n
+    assert "BroadcastHashJoin" in plan_text(out).split("== Initial Plan ==")[0]
     assert count_nodes(out, "Window") == 0
-    tree = plan_text(out).split("\n\n\n")[0]
-    # the only exchange is the broadcast of the checkpointed aggregate
-    assert count_nodes(out, "Exchange") == 0 and "BroadcastExchange" in tree
     hot = out.filter("regionid = 'HOT'").first()
     assert hot["size"] == n // 3
 
@@ -107,7 +104,7 @@ def test_bucketed_series_table_needs_no_shuffle(spark, scratch):
 
 
 def test_beyond_the_bound_hot_key_is_split_by_aqe(spark):
-    """When the lookup fails its size check, the shuffle join runs with AQE's skew
+    """When the lookup is not known to be small, the shuffle join runs with AQE's skew
     handling: the partition of a key holding a third of the rows is split."""
     from pyspark.sql import functions as F
 
@@ -127,7 +124,7 @@ def test_beyond_the_bound_hot_key_is_split_by_aqe(spark):
             F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000).alias("k"),
             F.col("id").alias("v"))
         dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-        joined = lookup_join(fact, dim, "k", "inner", max_broadcast_rows=10)
+        joined = lookup_join(fact, dim, "k", "inner")
         assert count_nodes(joined, "BroadcastExchange") == 0
         rows = joined.collect()
         assert len(rows) == n
@@ -140,13 +137,75 @@ def test_beyond_the_bound_hot_key_is_split_by_aqe(spark):
                 spark.conf.set(k, v)
 
 
-def test_broadcast_bound_accounts_for_row_width(spark):
-    from seasonflow.operators.joins import broadcast_row_bound, row_width
+def test_broadcast_is_bounded_in_measured_bytes(spark):
+    """Few rows with long strings are not broadcast, however well they compress."""
+    from pyspark.sql import functions as F
+
+    from seasonflow.operators.joins import fits, lookup_join, measure
+
+    narrow = spark.range(1000).selectExpr("id AS k", "'x' AS name")
+    long = spark.range(5000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 20_000).alias("name"))
+    assert measure(narrow).bytes == 1000 * (16 + 8 + 1) and fits(measure(narrow))
+    assert measure(long).bytes > 64 * 1024 * 1024 and not fits(measure(long))
+    assert measure(spark.range(300_000)) is None and not fits(None)
+    nested = spark.range(10).select(F.array_repeat(F.lit("abc"), 1000).alias("a"))
+    assert measure(nested).bytes > 10 * 3000
+    joined = lookup_join(narrow, long, "k", "left", fits(measure(long)))
+    assert count_nodes(joined, "BroadcastExchange") == 0
+    joined = lookup_join(long, narrow, "k", "left", fits(measure(narrow)))
+    assert count_nodes(joined, "BroadcastExchange") == 1
+
+
+@pytest.mark.parametrize("name, low, high", [
+    ("flt_yearweek_between", "1997-12-29", "2001-01-01"), ("ml_input", "1997-12-29", "2001-01-01"),
+    ("ml_split", "1997-12-29", "2001-01-01"), ("flt_year_week_sql", "2000-01-03", None),
+    ("prj_positional", "2000-01-03", None)])
+def test_yearweek_bounds_reach_the_scan_of_orders(spark, name, low, high):
+    pushed = " ".join(pushed_filters(QUERIES[name](spark, SF_SMALL)))
+    assert f"GreaterThanOrEqual(o_orderdate,{low}T00:00" in pushed
+    assert (f"LessThan(o_orderdate,{high}T00:00" in pushed) == (high is not None)
+
+
+def test_week_dates_cover_iso_years():
+    from datetime import date
+
+    from seasonflow.functions.yearweek import week_dates
+
+    assert week_dates("199801", "200052") == (date(1997, 12, 29), date(2001, 1, 1))
+    assert week_dates("202053", "202053") == (date(2020, 12, 28), date(2021, 1, 4))
+    assert week_dates(None, None) == (None, None)
+
+
+def test_product_filter_is_below_the_lineitem_exchange(spark):
+    """The part lookup and the product filter come before line items are shuffled."""
+    tree = plan_text(QUERIES["flt_product_set"](spark, SF_SMALL)).split("\n\n\n")[0]
+    lines = [ln for ln in tree.splitlines() if "(" in ln]
+    at = next(i for i, ln in enumerate(lines) if "SortMergeJoin" in ln)
+    below = [ln.split("(")[0].strip(" +-:*") for ln in lines[at + 1:]]
+    first_exchange = next(i for i, n in enumerate(below) if n.startswith("Exchange"))
+    assert "BroadcastHashJoin" in " ".join(below[first_exchange:first_exchange + 5])
+
+
+def test_building_a_query_again_starts_no_job(spark):
+    """Base tables are measured once; after that a sell-out query is only a plan."""
+    tracker = spark.sparkContext.statusTracker()
+    names = ["seasonality_index", "flt_param_driven", "prj_rawdata", "join_left_star",
+             "join_left_region"]
+    for name in names:
+        QUERIES[name](spark, SF_SMALL)
+    spark.sparkContext.setJobGroup("again", "")
+    try:
+        for name in names:
+            QUERIES[name](spark, SF_SMALL)
+        assert list(tracker.getJobIdsForGroup("again")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-    narrow = spark.range(1).selectExpr("id AS k", "'x' AS name")
-    wide = spark.range(1).selectExpr("id AS k", *[f"'x' AS s{i}" for i in range(40)])
-    assert row_width(narrow.schema) == 16 + 8 + 32
-    assert broadcast_row_bound(narrow) == 200_000
-    assert broadcast_row_bound(wide) < 200_000
-    assert broadcast_row_bound(wide, max_bytes=100_000) == 100_000 // row_width(wide.schema)
 
+def test_sorted_results_are_sorted(spark):
+    got = [tuple(r) for r in QUERIES["srt_yearweek"](spark, SF_SMALL).select(
+        "yearweek", "regionid", "product").collect()]
+    assert got == sorted(got) and len(got) > 100
+    got = [tuple(r) for r in QUERIES["ml_lr"](spark, SF_SMALL).select(
+        "yearweek", "regionid", "product").collect()]
+    assert got == sorted(got) and len(got) > 10
