@@ -29,7 +29,74 @@ def query(name: str, oracle: str | None = None):
     return deco
 
 
-@query("op1_licences")
+_TEMPLATES_SQL = ", ".join(
+    f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(licences.TEMPLATES))
+
+OP1_SQL = rf"""
+WITH template(i, name, text) AS (VALUES {_TEMPLATES_SQL}),
+term AS (
+  SELECT i, tok, count(*) AS c
+  FROM (SELECT i, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS tok FROM template) GROUP BY ALL
+), docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines,
+         concat_ws('/', coalesce(source, 'none'), coalesce(lang, 'none'), doc_id // 1000,
+                   doc_id // 10, doc_id) AS path
+  FROM documents
+), line AS (
+  SELECT rid, unnest(lines) AS line, generate_subscripts(lines, 1) - 1 AS no FROM docs
+), in_line AS (
+  SELECT rid, no, tok, count(*) AS c
+  FROM (SELECT rid, no, unnest(regexp_extract_all(lower(line), '[a-z0-9]+')) AS tok FROM line) GROUP BY ALL
+), in_doc AS (
+  SELECT rid, tok, sum(c) AS c FROM in_line GROUP BY ALL
+), total AS (
+  SELECT count(*) AS n FROM docs
+), idf AS (
+  SELECT v.tok, ln((1 + any_value(n)) / (1 + count(d.rid))) + 1 AS w
+  FROM (SELECT DISTINCT tok FROM term) v CROSS JOIN total LEFT JOIN in_doc d USING (tok) GROUP BY v.tok
+), template_weight AS (
+  SELECT i, tok, c * w / sqrt(sum(c * c * w * w) OVER (PARTITION BY i)) AS x FROM term JOIN idf USING (tok)
+), unit AS (
+  SELECT rid, no, tok, c FROM in_line UNION ALL SELECT rid, -1, tok, c FROM in_doc
+), weighed AS (
+  SELECT rid, no, tok, c * coalesce(w, ln(1 + n) + 1) AS x FROM unit CROSS JOIN total LEFT JOIN idf USING (tok)
+), length AS (
+  SELECT rid, no, sqrt(sum(x * x)) AS len FROM weighed GROUP BY ALL
+), score AS (
+  SELECT u.rid, u.no, t.i, sum(u.x * t.x) / any_value(len) AS s
+  FROM weighed u JOIN template_weight t USING (tok) JOIN length l ON l.rid = u.rid AND l.no = u.no GROUP BY ALL
+), own AS (
+  SELECT rid, no, name, s FROM score JOIN template USING (i) WHERE s >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY no >= 0, round(s, 9) DESC, i, no) = 1
+), file AS (
+  SELECT d.rid, doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir, name AS licence, s,
+         CASE WHEN no = -1 THEN 'file' WHEN no >= 0 THEN 'header' END AS kind,
+         CASE WHEN no >= 0 THEN no END AS line
+  FROM docs d LEFT JOIN own USING (rid)
+), declared AS (
+  SELECT dir, coalesce(
+           (SELECT f.licence FROM file f WHERE f.dir = g.dir AND f.kind = 'file'
+            GROUP BY f.licence ORDER BY count(*) DESC, f.licence LIMIT 1),
+           CASE WHEN count(DISTINCT licence) FILTER (WHERE kind = 'header') = 1
+                THEN min(licence) FILTER (WHERE kind = 'header') END) AS licence
+  FROM file g WHERE licence IS NOT NULL GROUP BY dir
+), ancestor AS (
+  SELECT dir, array_to_string(list_slice(string_split(dir, '/'), 1, depth), '/') AS up, depth
+  FROM (SELECT dir, unnest(generate_series(0, len(string_split(dir, '/')))) AS depth
+        FROM (SELECT DISTINCT dir FROM file))
+), near AS (
+  SELECT a.dir, a.up, d.licence FROM ancestor a JOIN declared d ON d.dir = a.up WHERE d.licence IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY a.dir ORDER BY a.depth DESC) = 1
+)
+SELECT doc_id, path, coalesce(f.licence, n.licence) AS licence,
+       coalesce(kind, CASE WHEN n.licence IS NOT NULL THEN 'inherited' END) AS origin,
+       CASE WHEN f.licence IS NULL THEN n.up END AS directory, CAST(line AS BIGINT) AS line,
+       round(s, 6) AS score
+FROM file f LEFT JOIN near n ON n.dir = f.dir
+"""
+
+
+@query("op1_licences", OP1_SQL)
 def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence of every document, laid out as source/language/thousands/tens/id."""
     docs = load(spark, sf_dir, "documents")
@@ -57,7 +124,33 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "n_repeat_words", "base_failed", "kept", "distance")
 
 
-@query("op4_substrings")
+OP4_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), words AS (
+  SELECT rid, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM docs
+), windows AS (
+  SELECT rid, pos, word, md5(string_agg(word, ' ') OVER f) AS seq, count(*) OVER f AS n
+  FROM words WINDOW f AS (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)
+), repeated AS (
+  SELECT seq FROM windows WHERE n = 35 GROUP BY seq HAVING count(*) > 1
+), covered AS (
+  SELECT rid, pos, word, max(CASE WHEN n = 35 AND seq IN (SELECT seq FROM repeated) THEN 1 ELSE 0 END)
+         OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone
+  FROM windows
+), rest AS (
+  SELECT rid, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (WHERE gone = 0) AS kept
+  FROM covered GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN rest USING (rid)
+"""
+
+
+@query("op4_substrings", OP4_SQL)
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left in every document after repeated passages of 35 words went."""
     rows = substrings.remove_repeats(load(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -166,7 +259,28 @@ def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
-@query("op9_embeddings")
+OP9_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), usable AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), links AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY a
+), lowest AS (SELECT a AS vec_id, min(b) AS low FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM v LEFT JOIN links USING (vec_id) LEFT JOIN lowest USING (vec_id)
+"""
+
+
+@query("op9_embeddings", OP9_SQL)
 def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and groups of all vectors."""
     rows = embeddings.near_duplicates(load(spark, sf_dir, "embeddings"), threshold=0.93,
