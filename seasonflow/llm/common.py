@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +41,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
+    _note(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,19 +52,42 @@ def bucketed(df: DataFrame, key: str, name: str) -> DataFrame:
     spark = df.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     table = f"{name}_{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark)}/{table}"
     (df.repartition(buckets, key).write.bucketBy(buckets, key).format("parquet")
-     .option("compression", "zstd").option("path", f"{checkpoint_dir(spark)}/{table}")
-     .saveAsTable(table))
+     .option("compression", "zstd").option("path", path).saveAsTable(table))
+    _note(path)
     return spark.table(table)
 
 
+_collectors: list[list[str]] = []
+
+
+def _note(path: str) -> None:
+    for made in _collectors:
+        made.append(path)
+
+
+@contextmanager
+def tables_made() -> Iterator[list[str]]:
+    """Collects the paths of the tables written inside the block."""
+    made: list[str] = []
+    _collectors.append(made)
+    try:
+        yield made
+    finally:
+        _collectors.remove(made)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written tables that nothing will read again."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`written` that nothing will read again."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file.rsplit("/", 1)[0])
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        fs.delete(path, True)
+    delete(df.sparkSession, [file.rsplit("/", 1)[0] for file in df.inputFiles()[:1]])
 
 
 def small_side(df: DataFrame, max_rows: int = 20_000) -> DataFrame:

@@ -66,11 +66,12 @@ def test_packing_stage_and_run(spark, stages):
     assert again.columns == pieces.columns and again.agg({"length": "sum"}).first()[0] == total
 
 
-def test_awkward_rows(spark, documents, rows, no_documents):
+def test_awkward_rows(spark, documents, rows, no_documents, scratch):
     plain = documents.select("doc_id", "text", "lang", "source", "n_chars")
     out = plain
-    for _, stage in C.STAGES[:-1]:
-        out = stage(spark, out, SF_SMALL)
+    for i, (_, stage) in enumerate(C.STAGES[:-1]):
+        stage(spark, out, SF_SMALL).write.parquet(f"{scratch}/awkward-{i}")
+        out = spark.read.parquet(f"{scratch}/awkward-{i}")
     assert out.columns == plain.columns and out.count() > 0
     for _, stage in C.STAGES:
         assert stage(spark, no_documents, SF_SMALL).count() == 0
