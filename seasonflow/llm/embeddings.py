@@ -97,13 +97,18 @@ def _strips(threshold: float):
 
 
 def _smallest(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Spread the smallest label over the edges (a, b), in place, until nothing changes."""
+    """Unite the sets that the edges (a, b) join, in place. A label is the smallest member
+    of its set, before and after: the old roots are lowered too, so edges that come in
+    parts give the same sets as all at once."""
     while True:
-        low = np.minimum(labels[a], labels[b])
-        if (low == labels[a]).all() and (low == labels[b]).all():
+        a, b = labels[a], labels[b]
+        apart = a != b
+        if not apart.any():
             return
-        np.minimum.at(labels, a, low)
-        np.minimum.at(labels, b, low)
+        a, b = a[apart], b[apart]
+        np.minimum.at(labels, np.maximum(a, b), np.minimum(a, b))
+        while (labels[labels] != labels).any():
+            labels[:] = labels[labels]
 
 
 def _compare(threshold: float):
@@ -146,9 +151,6 @@ def _compare(threshold: float):
                 np.add.at(links, b, weight[a])
                 _smallest(labels, a, b)
         touched = np.flatnonzero(links)
-        # labels spread chunk by chunk: follow them to their ends
-        while (labels[labels] != labels).any():
-            labels = labels[labels]
         return pd.DataFrame({"node": names[touched], "links": links[touched],
                              "root": names[labels[touched]]})
 

@@ -61,6 +61,26 @@ def test_links_near_the_threshold_in_many_tiles(spark, monkeypatch):
     assert run(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
 
 
+def test_chains_over_several_chunks_of_a_tile(spark, monkeypatch):
+    """Chains whose neighbours alone are linked: no other link can mend a lost one."""
+    monkeypatch.setattr(E, "TILE", 4_096)
+    monkeypatch.setattr(E, "_CHUNK", 4)
+    rng = np.random.default_rng(3)
+    rows = []
+    for _ in range(12):
+        x, y = np.linalg.qr(rng.standard_normal((8, 2)))[0].T
+        rows += [(0, (np.cos(t) * x + np.sin(t) * y).tolist(), 0) for t in np.arange(14) * np.pi / 9]
+    rows = [(i, v, label) for i, (_, v, label) in zip(rng.permutation(len(rows)).tolist(), rows)]
+    assert run(spark.createDataFrame(rows, SCHEMA)) == brute(rows)
+
+
+def test_labels_of_edges_in_parts():
+    labels = np.arange(6)
+    for a, b in (([2], [5]), ([1], [5]), ([4, 3], [5, 4])):
+        E._smallest(labels, np.array(a), np.array(b))
+    assert labels.tolist() == [0, 1, 1, 1, 1, 1]
+
+
 def test_awkward_rows(spark):
     rows = clustered(8, 10, 2)
     v = rows[0][1]
