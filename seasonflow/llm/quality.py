@@ -37,8 +37,10 @@ VECTOR = ("v_length", "v_symbols", "v_lines", "v_repeats")
 SCALE = 256
 #: Least standard deviation of each coordinate, in transformed units: a coordinate that
 #: hardly varies in a group (no symbols, no repeated lines) must not reject a document
-#: for its first symbol or line.
-FLOORS = (0.10, 0.45, 1.0, 0.75)
+#: for its first symbol or line. But an extreme value of each coordinate must be able to
+#: pass CUTOFF alone: its range over its floor is above the root of CUTOFF (log1p(100)
+#: for lines, log1p(20) for the repeated words that the base rule lets through).
+FLOORS = (0.10, 0.45, 0.60, 0.43)
 #: Share of a group that the scatter is concentrated on.
 COVERAGE = 0.75
 STEPS = 4
@@ -53,6 +55,9 @@ CUTOFF = 40.0
 #: Words of the language's usual length that every text is smoothed with, so that the
 #: ratios of a text of a dozen words do not look extreme.
 PRIOR_WORDS, PRIOR_CHARS = 30, 5
+#: Lines and words without a repeat that the repeats of every text are smoothed with, for
+#: the same reason: one repeated line of a short text counts in both.
+PRIOR_LINES, PRIOR_UNREPEATED = 30, 100
 #: Bins of the distance histogram for each doubling of the squared distance.
 BINS = 32
 
@@ -99,13 +104,13 @@ def counts(text: Column) -> Column:
 
 
 def vector() -> list[Column]:
-    """The transformed statistics as integers: smoothed mean word length, and symbols,
-    repeated lines and repeated words per hundred."""
+    """The transformed statistics as integers: smoothed mean word length, and smoothed
+    symbols, repeated lines and repeated words per hundred."""
     n = F.col("n_words") + PRIOR_WORDS
     values = [F.log((F.col("word_chars") + PRIOR_CHARS * PRIOR_WORDS) / n),
               F.log1p(100 * F.col("n_symbols") / n),
-              F.log1p(100 * F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))),
-              F.log1p(100 * F.col("n_repeat_words") / n)]
+              F.log1p(100 * F.col("n_dup_lines") / (F.col("n_lines") + PRIOR_LINES)),
+              F.log1p(100 * F.col("n_repeat_words") / (F.col("n_words") + PRIOR_UNREPEATED))]
     return [F.round(v * SCALE).cast("long").alias(name) for v, name in zip(values, VECTOR)]
 
 

@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import numpy as np
@@ -106,6 +107,36 @@ def test_junk_goes_and_clean_documents_stay(spark):
     assert rate[1] == 1.0 and rate[0] < 0.2
 
 
+def test_each_coordinate_rejects_its_outlier_alone(spark):
+    """One planted document for each coordinate beside clean ones of one group, some of
+    which have a first symbol or one repeated line."""
+    rng = random.Random(5)
+
+    def text(n, width=5):
+        return [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(width - 2, width + 2)))
+                         for _ in range(10)) for _ in range(n)]
+
+    clean = [text(rng.randint(8, 20)) for _ in range(300)]
+    clean[0].append("#")
+    clean[1].append("a short line")
+    clean[1].append("a short line")
+    menu = [f"{a}{b}" for a in "abcde" for b in "vwxyz"]
+    # in varying order: no window of five words comes twice often enough for the base rule
+    lines = text(20) + [x for _ in range(40) for x in rng.sample(menu, len(menu))]
+    passage = " ".join(text(5)).split()[:45]
+    repeats = " ".join(text(38)).split() + passage + ["x"] + passage
+    planted = {1000: text(10, 20), 1001: [x.replace("a", "#") for x in text(10)], 1002: lines,
+               1003: [" ".join(repeats)]}
+    docs = [(i, "\n".join(t), "en", "a") for i, t in [*enumerate(clean), *planted.items()]]
+    got = {r["doc_id"]: r for r in Q.judge(spark.createDataFrame(
+        docs, "doc_id long, text string, lang string, source string")).select(
+        "doc.doc_id", *Q.COUNTS, "base_failed", "distance", "kept").collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert got[1002]["n_dup_lines"] > 0.9 * got[1002]["n_lines"]
+    assert [i for i in planted if got[i]["kept"]] == []
+    assert all(got[i]["kept"] for i in range(len(clean)))
+
+
 def test_awkward_rows(documents, rows, no_documents):
     got = Q.judge(documents)
     assert "est" in got.select("doc.*").columns
