@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    embeddings, licences, linededup, mixing, packing, quality, rollups, simhash, substrings,
-    urlfilter,
+    embeddings, licences, linededup, mixing, packing, phrases, quality, rollups, simhash,
+    substrings, urlfilter,
 )
 from .common import load, written
 
@@ -292,3 +292,59 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 1024 tokens."""
     return packing.pack(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+OP12_SQL = rf"""
+WITH piece AS (
+  SELECT lang, rid, unnest(p) AS piece, generate_subscripts(p, 1) AS part
+  FROM (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS rid,
+               string_split_regex(translate(coalesce(text, ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}'),
+                                  '[.,;:!?\x0A-\x0D]') AS p FROM documents)
+), word AS (
+  SELECT lang, rid, part, unnest(w) AS w1, generate_subscripts(w, 1) AS pos
+  FROM (SELECT lang, rid, part, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece)
+), near AS (
+  SELECT lang, w1, lead(w1) OVER x AS w2, lead(w1, 2) OVER x AS w3
+  FROM word WINDOW x AS (PARTITION BY rid, part ORDER BY pos)
+), total AS (
+  SELECT lang, count(*) AS n FROM near GROUP BY lang
+), one AS (
+  SELECT lang, w1, count(*)::HUGEINT AS f FROM near GROUP BY ALL
+), two AS (
+  SELECT lang, w1, w2, count(*)::HUGEINT AS f FROM near WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), three AS (
+  SELECT lang, w1, w2, w3, count(*)::HUGEINT AS f FROM near WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10
+), cut AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 AS phrase, t.f AS a, 1 AS k, x.f AS l, y.f AS r,
+         t.w1, t.w2, NULL AS w3
+  FROM two t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN one y ON y.lang = t.lang AND y.w1 = t.w2
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, x.f, y.f, t.w1, t.w2, t.w3
+  FROM three t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1
+               JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, x.f, y.f, t.w1, t.w2, t.w3
+  FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2
+               JOIN one y ON y.lang = t.lang AND y.w1 = t.w3
+), scored AS (
+  SELECT *, 1000000 * a * a // (l * r) AS score FROM cut
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY 1000000 * a * a // (l * r), k) = 1
+), longer AS (
+  SELECT lang, x, y, max(f) AS f
+  FROM (SELECT lang, w1 AS x, w2 AS y, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL
+), kept AS (
+  SELECT s.* FROM scored s LEFT JOIN longer g ON s.w3 IS NULL AND g.lang = s.lang AND g.x = s.w1 AND g.y = s.w2
+  WHERE g.f IS NULL OR 100 * g.f < 50 * s.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN total USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
+@query("op12_phrases", OP12_SQL)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of two or three words of every language."""
+    return phrases.collocations(load(spark, sf_dir, "documents"), order=3, min_count=10, share=50,
+                                top=2000)
