@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    embeddings, licences, linededup, mixing, packing, phrases, quality, rollups, simhash,
-    substrings, urlfilter,
+    divergence, embeddings, licences, linededup, minhash, mixing, packing, phrases, quality,
+    rollups, simhash, substrings, urlfilter,
 )
 from .common import load, written
 
@@ -294,6 +294,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query("op11_fingerprints")
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, their likeness to each other and to
+    the next document, and the document's near-duplicate group."""
+    docs = load(spark, sf_dir, "documents")
+    rows = minhash.grouped(minhash.followed(docs, shingle=5, keep=["doc_id"]), minhash.digests(docs),
+                           threshold=0.8, shingle=5)
+    return rows.select("doc.doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+                       F.lower(F.hex("print")).alias("fingerprint"),
+                       F.lower(F.hex("edited_print")).alias("edited_fingerprint"),
+                       "near_edited", "near_next", "component_id")
+
+
 OP12_SQL = rf"""
 WITH piece AS (
   SELECT lang, rid, unnest(p) AS piece, generate_subscripts(p, 1) AS part
@@ -348,3 +361,53 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2,000 collocations of two or three words of every language."""
     return phrases.collocations(load(spark, sf_dir, "documents"), order=3, min_count=10, share=50,
                                 top=2000)
+
+
+OP13_SQL = rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), '{urlfilter.UPPER}', '{urlfilter.LOWER}') AS text
+  FROM documents
+), found AS (
+  SELECT rid, lang, source,
+         unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM doc
+), kept AS (
+  SELECT lang, term FROM found GROUP BY ALL HAVING count(DISTINCT rid) >= 30
+), size AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), occurs AS (
+  SELECT lang, source, term, count(*) AS c FROM found JOIN kept USING (lang, term) GROUP BY ALL
+), grp AS (
+  SELECT lang, source, coalesce(n, 0) AS n FROM (SELECT DISTINCT lang, source FROM doc)
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM occurs GROUP BY ALL) USING (lang, source)
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c,
+         1 + (1000000000::HUGEINT * (coalesce(c, 0) + 5)) // (n + 5 * v) AS p
+  FROM grp g JOIN kept k ON k.lang = g.lang JOIN size s ON s.lang = g.lang
+  LEFT JOIN occurs o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+), q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 5)) // (sum(c) OVER (PARTITION BY lang)
+         + 5 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM (SELECT lang, term, sum(c) AS c FROM occurs GROUP BY ALL)
+), apart AS (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f
+  FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), part AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f, 0) AS f
+  FROM grp x JOIN grp y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN apart a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item) AS INTEGER) AS rank
+FROM part
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
+@query("op13_divergence", OP13_SQL)
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source's distances from the others of its language, and its most typical terms."""
+    return divergence.divergence(load(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
