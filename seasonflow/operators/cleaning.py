@@ -81,6 +81,21 @@ def over(df: DataFrame, threshold: float, qty: str = "qty") -> DataFrame:
     return df.filter(F.col(qty) > F.lit(threshold))
 
 
+def parameter_lookup(params: DataFrame, names, category: str = "COMMON", to: str = "int") -> DataFrame:
+    """AGG-12 as a lookup: one row with the map ``values`` from each of ``names`` to its
+    active value, the smallest that parses as ``to`` where there are several.
+
+    ``names`` bounds the map; the rows of other names (lists, see :func:`parameter_filter`)
+    are never gathered. A name without an active value is not in the map.
+    """
+    active = params.filter((F.col("use_yn") == "Y") & (F.col("param_category") == category)
+                           & F.col("param_name").isin(list(names)))
+    value = F.min(F.col("param_value").try_cast(to)).alias("value")
+    each = active.groupBy("param_name").agg(value).filter(F.col("value").isNotNull())
+    return each.agg(F.map_from_entries(
+        F.collect_list(F.struct("param_name", "value"))).alias("values"))
+
+
 def parameter_filter(df: DataFrame, params: DataFrame, category: str = "COMMON",
                      default_week: int = 53, default_year: int = 2016,
                      yearweek: str = "yearweek", product: str = "product") -> DataFrame:
@@ -92,24 +107,15 @@ def parameter_filter(df: DataFrame, params: DataFrame, category: str = "COMMON",
     Missing scalars fall back to the defaults (the smallest value wins when several
     active rows give one); a missing product list keeps nothing.
 
-    Nothing is collected: the two scalars are scalar subqueries over a one-row global
-    aggregate, the product list is a left-semi join that the planner broadcasts if the
+    Nothing is collected: the scalars are a one-row map (:func:`parameter_lookup`) read by a
+    scalar subquery, the product list is a left-semi join that the planner broadcasts if the
     size it sees at run time allows.
     """
     active = params.filter((F.col("use_yn") == "Y") & (F.col("param_category") == category))
-    # filter before aggregating so the optimizer can prune parameter sources that
-    # cannot hold the scalar names (e.g. a product list derived from a big table)
-    scalars = active.filter(F.col("param_name").isin("VALID_WEEK", "VALID_YEAR")).agg(
-        F.coalesce(F.min(F.when(F.col("param_name") == "VALID_WEEK",
-                                F.col("param_value").try_cast("int"))),
-                   F.lit(default_week)).alias("_valid_week"),
-        F.coalesce(F.min(F.when(F.col("param_name") == "VALID_YEAR",
-                                F.col("param_value").try_cast("int"))),
-                   F.lit(default_year)).alias("_valid_year"),
-    )
+    values = parameter_lookup(params, ("VALID_WEEK", "VALID_YEAR"), category).select("values").scalar()
+    valid_week = F.coalesce(F.try_element_at(values, F.lit("VALID_WEEK")), F.lit(default_week))
+    valid_year = F.coalesce(F.try_element_at(values, F.lit("VALID_YEAR")), F.lit(default_year))
     products = (active.filter(F.col("param_name") == "VALID_PRODUCT")
                 .select(F.col("param_value").alias(product)).distinct())
     kept = lookup_join(df, products, product, "left_semi")
-    return kept.filter(
-        (week_of(yearweek) < scalars.select("_valid_week").scalar())
-        & (year_of(yearweek) >= scalars.select("_valid_year").scalar()))
+    return kept.filter((week_of(yearweek) < valid_week) & (year_of(yearweek) >= valid_year))

@@ -13,10 +13,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.yearweek import week_of, yearweek_int, yearweek_range
+from ..session import scratch_path
 from .enrich import flag, holiday_flag
 
 FEATURES = ("week", "pro_percent", "holidaycode")
@@ -52,23 +53,25 @@ def split_label(df: DataFrame, split_at: int, yearweek: str = "yearweek", out: s
             .withColumn(out, F.when(yw <= split_at, F.lit("train")).otherwise(F.lit("test"))))
 
 
-def regressor(kind: str, label: str = "qty", features: str = "features", seed: int = DEFAULT_SEED):
-    """ML-4/5/6 with library defaults; tree models always get an explicit seed."""
+def regressor(kind: str, label: str = "qty", features: str = "features", seed: int = DEFAULT_SEED,
+              **params):
+    """ML-4/5/6 with library defaults; tree models always get an explicit seed. ``params``
+    are the estimator's own (``maxDepth``, ``maxBins``, ...)."""
     if kind == "decision_tree":
-        return DecisionTreeRegressor(labelCol=label, featuresCol=features, seed=seed)
+        return DecisionTreeRegressor(labelCol=label, featuresCol=features, seed=seed, **params)
     if kind == "linear_regression":
-        return LinearRegression(labelCol=label, featuresCol=features)
+        return LinearRegression(labelCol=label, featuresCol=features, **params)
     if kind == "random_forest":
-        return RandomForestRegressor(labelCol=label, featuresCol=features, seed=seed)
+        return RandomForestRegressor(labelCol=label, featuresCol=features, seed=seed, **params)
     raise ValueError(f"unknown model {kind!r}; choose from {MODELS}")
 
 
 def estimator(kind: str, features=FEATURES, label: str = "qty", seed: int = DEFAULT_SEED,
-             handle_invalid: str = "error") -> Pipeline:
+             handle_invalid: str = "error", **params) -> Pipeline:
     """ML-3/7: assembler + regressor. ``handle_invalid`` is VectorAssembler's policy."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features",
                                 handleInvalid=handle_invalid)
-    return Pipeline(stages=[assembler, regressor(kind, label, "features", seed)])
+    return Pipeline(stages=[assembler, regressor(kind, label, "features", seed, **params)])
 
 
 def fit(train: DataFrame, kind: str, **kw) -> PipelineModel:
@@ -105,6 +108,71 @@ def tree_description(model: PipelineModel) -> str:
     return model.stages[-1].toDebugString
 
 
+def exact_bins(train: DataFrame, features=FEATURES) -> int:
+    """``maxBins`` at which a tree tries every split between two values of a feature."""
+    distinct = train.agg(*[F.count_distinct(f).alias(f) for f in features]).first()
+    return max(2, *distinct) + 1
+
+
+NO_CHILD = -1
+
+
+def tree_nodes(model: PipelineModel, features=FEATURES) -> DataFrame:
+    """ML-10 as a table: one row per node of the fitted tree or of every tree of a forest,
+    read back from the saved model in the shared folder.
+
+    Columns: ``tree``, ``node`` (0 is a tree's root), ``feature`` and ``threshold`` (a row
+    goes left if its value is at most that), ``left``, ``right``, all four null for a leaf,
+    ``prediction``, ``impurity``, ``gain`` (null for a leaf) and ``rows`` (training rows).
+    """
+    fitted = model.stages[-1]
+    spark = SparkSession.getActiveSession()
+    path = scratch_path(spark, "model")
+    fitted.write().save(path)
+    data = spark.read.parquet(f"{path}/data")
+    if "nodeData" in data.columns:
+        data = data.select(F.col("treeID").alias("tree"), "nodeData.*")
+    else:
+        data = data.withColumn("tree", F.lit(0))
+    inner = F.col("leftChild") != NO_CHILD
+    names = F.array(*[F.lit(f) for f in features])
+
+    def of_inner(c, name):
+        return F.when(inner, c).alias(name)
+
+    return data.select(
+        "tree", F.col("id").alias("node"),
+        of_inner(F.get(names, F.col("split.featureIndex")), "feature"),
+        of_inner(F.get("split.leftCategoriesOrThreshold", F.lit(0)), "threshold"),
+        of_inner(F.col("leftChild"), "left"), of_inner(F.col("rightChild"), "right"),
+        "prediction", "impurity", of_inner(F.col("gain"), "gain"), F.col("rawCount").alias("rows"))
+
+
+def walk(nodes: DataFrame, rows: DataFrame, depth: int, features=FEATURES,
+         prediction: str = "prediction") -> DataFrame:
+    """Predictions of :func:`tree_nodes` for ``rows``: every tree is walked from its root, one
+    lookup of the node table per level, and the trees' values are averaged.
+
+    ``depth`` is the model's. A node table has at most ``2^(depth + 1)`` rows per tree, so
+    AQE broadcasts it on its real size.
+    """
+    roots = nodes.where(F.col("node") == 0).select("tree")
+    at = (rows.withColumn("_row", F.monotonically_increasing_id()).join(roots)
+          .withColumn("node", F.lit(0)))
+    steps = nodes.select("tree", "node", "feature", "threshold", "left", "right")
+    values = F.map_from_arrays(F.array(*[F.lit(f) for f in features]),
+                               F.array(*[F.col(f).cast("double") for f in features]))
+    for _ in range(depth):
+        here = at.join(steps, ["tree", "node"])
+        value = F.try_element_at(values, F.col("feature"))
+        at = here.withColumn("node", F.when(F.col("feature").isNull(), F.col("node"))
+                             .when(value <= F.col("threshold"), F.col("left"))
+                             .otherwise(F.col("right"))).select(*at.columns)
+    leaf = nodes.select("tree", "node", F.col("prediction").alias("_value"))
+    return (at.join(leaf, ["tree", "node"]).groupBy("_row", *rows.columns)
+            .agg(F.avg("_value").alias(prediction)).drop("_row"))
+
+
 def compare(train: DataFrame, test: DataFrame, kinds=MODELS, **kw) -> DataFrame:
     """ML-9: (model, n, rmse, mae) for each model on the same split.
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.util import names
 from ..functions.yearweek import yearweek_int
 from .joins import attach
+from .numbering import block_of, with_group_position
 
 STATS = ("size", "total", "average", "stddev", "dispersion")
 
@@ -92,6 +93,73 @@ def nested(df: DataFrame, keys, fields, stats=(), value: str = "qty",
     return agg
 
 
+def nested_chunks(df: DataFrame, keys, fields, order, chunk_rows: int = 1000, stats=(),
+                  value: str = "qty", records: str = "records") -> DataFrame:
+    """AGG-7..9 on raw rows: a key's records as lists of at most ``chunk_rows``, one row per
+    (key, ``chunk``), with the key's ``stats``.
+
+    Rows are numbered inside their key by ``order`` (ties by the fields), so chunk ``c`` has
+    the positions from ``c * chunk_rows`` on. A key that holds a third of all rows is many
+    chunks on many tasks; no cell grows with it. The statistics are a partial aggregate over
+    the rows, attached to the chunks.
+    """
+    keys, fields = names(keys), names(fields)
+    named = [c for c in order if isinstance(c, str)]
+    placed = with_group_position(df, keys, *order, *[f for f in fields if f not in named],
+                                 out="_idx")
+    record = F.struct("_idx", *fields)
+    chunks = (placed.withColumn("chunk", block_of("_idx", chunk_rows)).groupBy(*keys, "chunk")
+              .agg(F.sort_array(F.collect_list(record)).alias(records))
+              .withColumn(records, F.transform(
+                  records, lambda r: F.struct(*[r[f].alias(f) for f in fields]))))
+    return attach(chunks, group_stats(df, keys, value, stats), keys) if stats else chunks
+
+
+# --- folds (AGG-14) -----------------------------------------------------------------
+
+def product_parts(value: str = "qty") -> list[Column]:
+    """Mergeable accumulators of a product: how many factors are zero and negative, and the
+    sum of the logarithms of the others' magnitudes. Null factors are passed over."""
+    v = F.col(value)
+    return [F.count(v).alias("factors"), F.count_if(v == 0).alias("zeros"),
+            F.count_if(v < 0).alias("negatives"),
+            F.coalesce(F.sum(F.when(v != 0, F.ln(F.abs(v)))), F.lit(0.0)).alias("ln_magnitude")]
+
+
+def _sign(negatives: Column) -> Column:
+    return F.when(negatives % 2 == 1, -1.0).otherwise(1.0)
+
+
+def fold_groups(df: DataFrame, keys, value: str = "qty", order=()) -> DataFrame:
+    """AGG-14 at group level: the folds ``_ + _``, ``_ * _`` and ``_ / _`` of every group.
+
+    One row per key with the accumulators of :func:`product_parts` and ``folded_sum``,
+    ``folded_product``, ``folded_ratio`` (the first value by ``order``, ties by value, divided
+    by all others; null if one of those is zero) and ``ln_ratio``. All are partial aggregates: no
+    list, no order beyond the smallest row. A product beyond the range of doubles is infinite
+    or zero; its sign and ``ln_magnitude`` stay right.
+    """
+    keys = names(keys)
+    first = F.struct(*[F.col(c) if isinstance(c, str) else c for c in order], F.col(value))
+    parts = df.groupBy(*keys).agg(
+        F.sum(value).alias("folded_sum"), *product_parts(value),
+        F.min_by(value, F.when(F.col(value).isNotNull(), first)).alias("first"))
+    a = F.col("first")
+    product = F.when(F.col("zeros") > 0, 0.0).otherwise(
+        _sign(F.col("negatives")) * F.exp("ln_magnitude"))
+    other_zeros = F.col("zeros") - F.when(a == 0, 1).otherwise(0)
+    other_signs = _sign(F.col("negatives") - F.when(a < 0, 1).otherwise(0))
+    ln_a = F.when(a != 0, F.ln(F.abs(a)))
+    ln_ratio = F.when((other_zeros == 0) & (a != 0), ln_a * 2 - F.col("ln_magnitude"))
+    ratio = (F.when(other_zeros > 0, F.lit(None)).when(a == 0, 0.0)
+             .otherwise(F.signum(a) * other_signs * F.exp(ln_ratio)))
+    empty = F.col("factors") == 0
+    return parts.select(
+        *keys, "folded_sum", F.when(~empty, product).alias("folded_product"),
+        F.when(~empty, ratio).alias("folded_ratio"),
+        "factors", "zeros", "negatives", "ln_magnitude", ln_ratio.alias("ln_ratio"))
+
+
 def flatten(df: DataFrame, keys, records: str = "records", pos: str = "pos") -> DataFrame:
     """Explode a nested list back to rows with its 0-based position."""
     return df.select(*names(keys), F.posexplode(records).alias(pos, "_rec")).select(

@@ -1,7 +1,7 @@
 """Joins whose broadcast is bounded in measured rows and bytes.
 
 A base table is broadcast only after its rows and the bytes of its values have been
-measured against a bound; each table is measured once per session and folder. Derived
+measured against a bound; each table is measured once per session and state of its files. Derived
 sides (aggregates, distincts) are never sized in advance: AQE sees the real size of
 their shuffle and then broadcasts them or joins by shuffle, splitting hot keys.
 """
@@ -12,7 +12,7 @@ import uuid
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.util import names
@@ -69,9 +69,22 @@ def measure(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> Size | Non
 _MEASURED: dict[tuple, Size | None] = {}
 
 
-def measure_once(df: DataFrame, *key) -> Size | None:
-    """:func:`measure`, remembered per session under ``key`` (folder, table, columns)."""
-    key = (df.sparkSession.sparkContext.applicationId, *key)
+def listing(spark: SparkSession, path: str) -> tuple:
+    """The data files under ``path`` with their lengths and times of change."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(at, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def measure_once(df: DataFrame, path: str, *key) -> Size | None:
+    """:func:`measure` of a table at ``path``, remembered per session under ``key`` (table,
+    columns) for as long as the table's files are the same."""
+    spark = df.sparkSession
+    key = (spark.sparkContext.applicationId, listing(spark, path), *key)
     if key not in _MEASURED:
         _MEASURED[key] = measure(df)
     return _MEASURED[key]

@@ -16,11 +16,14 @@ hash partitioning: one shuffle for the whole pipeline after the series reduction
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Observation, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.util import names
 from ..functions.yearweek import week_text, yearweek_int
+from .groupstats import group_stats
+from .joins import attach
+from .numbering import block_of, with_group_position, with_halo
 
 SERIES_KEYS = ("regionid", "product")
 SHORT_SERIES_POLICIES = ("error", "drop", "truncate")
@@ -28,6 +31,9 @@ SHORT_SERIES_POLICIES = ("error", "drop", "truncate")
 # Fixed values of the reference job.
 REFERENCE_ORDER = 17
 
+# Rows of a block of a series in :func:`moving_average_blocked`.
+BLOCK_ROWS = 4096
+
 
 def series(df: DataFrame, keys=SERIES_KEYS, yearweek: str = "yearweek", qty: str = "qty",
            duplicates: str = "sum") -> DataFrame:
@@ -105,6 +111,72 @@ def moving_average(df: DataFrame, order: int = REFERENCE_ORDER, keys=SERIES_KEYS
     return df.withColumn(out, guarded.cast("double"))
 
 
+def moving_average_blocked(df: DataFrame, order: int = REFERENCE_ORDER, keys=SERIES_KEYS,
+                           yearweek: str = "yearweek", qty: str = "qty", out: str = "ma",
+                           idx: str = "idx", short_series: str = "error",
+                           block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """:func:`moving_average` for series of any length, with the row index (WIN-4..7).
+
+    Rows are numbered inside their series (:func:`numbering.with_group_position`); a window
+    then sees one block of ``block_rows`` positions and ``order // 2`` rows of each
+    neighbour, so one series is as many tasks as it has blocks. Same order, edges and
+    policies as :func:`moving_average`; rows equal in yearweek and quantity are
+    interchangeable.
+    """
+    if order <= 2:
+        raise ValueError("moving-average order must be > 2")
+    if short_series not in SHORT_SERIES_POLICIES:
+        raise ValueError(f"short_series must be one of {SHORT_SERIES_POLICIES}")
+    keys, h = names(keys), order // 2
+    block_rows = max(block_rows, h)
+    placed = with_group_position(df, keys, yearweek_int(yearweek), yearweek, qty, out=idx,
+                                 size="_series_n")
+    if short_series == "drop":
+        placed = placed.filter(F.col("_series_n") >= order)
+    spread = with_halo(placed, idx, block_rows, h, h, out="_block")
+    w = Window.partitionBy(*keys, "_block").orderBy(idx)
+    ma = F.avg(qty).over(w.rowsBetween(-h, h))
+    if order % 2 == 0:
+        two_by_m = (F.avg(qty).over(w.rowsBetween(-h, h - 1))
+                    + F.avg(qty).over(w.rowsBetween(-h + 1, h))) / 2.0
+        inner = (F.col(idx) >= h) & (F.col(idx) <= F.col("_series_n") - 1 - h)
+        ma = F.when(inner, two_by_m).otherwise(ma)
+    done = spread.withColumn(out, ma).filter(F.col("_block") == block_of(idx, block_rows))
+    if short_series == "error":
+        done = done.withColumn(out, F.when(F.col("_series_n") < order, F.raise_error(F.concat(
+            F.lit(f"series shorter than moving-average order {order}: "),
+            F.concat_ws("_", *keys)))).otherwise(F.col(out)).cast("double"))
+    return done.select(*df.columns, idx, out)
+
+
+def precondition(df: DataFrame, order: int = REFERENCE_ORDER, keys=SERIES_KEYS,
+                 n: str = "n", accepted: str = "accepted") -> tuple[DataFrame, Observation]:
+    """WIN-9 as a result: every series with its length and whether a moving average of
+    ``order`` can be taken of it, and an observation that counts series and rows of both
+    kinds in the pass that reads the result.
+
+    The lengths are a partial aggregate, so a long series is not one task. A null key is a
+    series.
+    """
+    if order <= 2:
+        raise ValueError("moving-average order must be > 2")
+    seen = Observation()
+    sizes = group_stats(df, keys, stats=("size",)).withColumnRenamed("size", n)
+    flagged = sizes.withColumn(accepted, F.col(n) >= order)
+    good, rows = F.col(accepted), F.col(n)
+    return flagged.observe(
+        seen, F.count_if(good).alias("accepted_series"), F.count_if(~good).alias("rejected_series"),
+        F.coalesce(F.sum(F.when(good, rows)), F.lit(0)).alias("accepted_rows"),
+        F.coalesce(F.sum(F.when(~good, rows)), F.lit(0)).alias("rejected_rows")), seen
+
+
+def accepted_rows(df: DataFrame, checked: DataFrame, keys=SERIES_KEYS,
+                  accepted: str = "accepted") -> tuple[DataFrame, DataFrame]:
+    """The rows of the accepted and of the rejected series of :func:`precondition`."""
+    rows = attach(df, checked.select(*names(keys), F.col(accepted).alias("_ok")), keys)
+    return rows.filter("_ok").drop("_ok"), rows.filter("NOT _ok").drop("_ok")
+
+
 def ratio(volume: str = "qty", ma: str = "ma") -> Column:
     """WIN-8: ``volume / ma``, 1.0 when the moving average is zero."""
     return F.when(F.col(ma) != 0.0, F.col(volume) / F.col(ma)).otherwise(F.lit(1.0))

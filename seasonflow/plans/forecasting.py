@@ -106,6 +106,61 @@ def ml_dt(spark, sf_dir):
     return _predictions(spark, sf_dir, "decision_tree")
 
 
+# The best first split: for every feature and every value but the largest, the drop in
+# variance when rows up to that value go left.
+_STUMP_SQL = _FEATURES_SQL + f""",
+tr AS (SELECT week, pro_percent, CAST(holidaycode AS DOUBLE) AS holidaycode, qty AS y
+       FROM inp WHERE CAST(yearweek AS INTEGER) <= {P.SPLIT_YEARWEEK}),
+per AS (SELECT f, v, count(*) AS n, sum(y) AS s, sum(y * y) AS q
+        FROM (SELECT 0 AS f, week AS v, y FROM tr UNION ALL SELECT 1, pro_percent, y FROM tr
+              UNION ALL SELECT 2, holidaycode, y FROM tr) GROUP BY f, v),
+cum AS (SELECT f, v, lead(v) OVER w AS next, sum(n) OVER w AS n, sum(s) OVER w AS s, sum(q) OVER w AS q,
+               sum(n) OVER a AS nn, sum(s) OVER a AS ss, sum(q) OVER a AS qq
+        FROM per WINDOW w AS (PARTITION BY f ORDER BY v), a AS (PARTITION BY f)),
+best AS (SELECT f, (v + next) / 2 AS t, s / n AS lo, (ss - s) / (nn - n) AS hi,
+                (q - s * s / n + (qq - q) - (ss - s) * (ss - s) / (nn - n)) AS rest
+         FROM cum WHERE next IS NOT NULL ORDER BY rest, f, v LIMIT 1)
+"""
+
+
+@query("ml_dt_stump", oracle=_STUMP_SQL + f"""
+SELECT regionid, product, yearweek, qty,
+       round(CASE WHEN CASE f WHEN 0 THEN week WHEN 1 THEN pro_percent ELSE holidaycode END <= t
+                  THEN lo ELSE hi END, 6) AS prediction
+FROM inp, best WHERE CAST(yearweek AS INTEGER) > {P.SPLIT_YEARWEEK}
+""")
+def ml_dt_stump(spark, sf_dir):
+    """ML-4 held against SQL: a tree of depth one that may split at any value."""
+    train, test = M.time_split(materialize(_input(spark, sf_dir)), P.SPLIT_YEARWEEK)
+    model = M.fit(train, "decision_tree", maxDepth=1, maxBins=M.exact_bins(train))
+    return M.predict(model, test).select("regionid", "product", "yearweek", "qty",
+                                         report("prediction").alias("prediction"))
+
+
+@query("ml_stump_nodes", oracle=_STUMP_SQL + """
+SELECT 0 AS node, ['week', 'pro_percent', 'holidaycode'][f + 1] AS feature, round(t, 6) AS threshold,
+       round(nn_y, 6) AS prediction, nn AS rows
+FROM best, (SELECT count(*) AS nn, avg(y) AS nn_y FROM tr)
+UNION ALL SELECT 1, NULL, NULL, round(lo, 6), (SELECT count(*) FROM tr, best WHERE
+  CASE f WHEN 0 THEN week WHEN 1 THEN pro_percent ELSE holidaycode END <= t) FROM best
+UNION ALL SELECT 2, NULL, NULL, round(hi, 6), (SELECT count(*) FROM tr, best WHERE
+  CASE f WHEN 0 THEN week WHEN 1 THEN pro_percent ELSE holidaycode END > t) FROM best
+""")
+def ml_stump_nodes(spark, sf_dir):
+    """ML-10 held against SQL: the node table of the tree of depth one."""
+    train, _ = M.time_split(materialize(_input(spark, sf_dir)), P.SPLIT_YEARWEEK)
+    model = M.fit(train, "decision_tree", maxDepth=1, maxBins=M.exact_bins(train))
+    return M.tree_nodes(model).select("node", "feature", report("threshold").alias("threshold"),
+                                      report("prediction").alias("prediction"), "rows")
+
+
+@query("ml_tree_nodes")
+def ml_tree_nodes(spark, sf_dir):
+    """ML-10: the fitted forest's nodes as a table."""
+    train, _ = M.time_split(materialize(_input(spark, sf_dir)), P.SPLIT_YEARWEEK)
+    return M.tree_nodes(M.fit(train, "random_forest"))
+
+
 @query("ml_lr", oracle=_OLS_SQL
        + "SELECT regionid, product, yearweek, qty, round(p, 4) AS prediction FROM pr")
 def ml_lr(spark, sf_dir):

@@ -8,10 +8,11 @@ from ..functions.rounding import report
 from ..operators import cleaning as C
 from ..operators import groupstats as G
 from ..operators.seasonality import series
-from ..sources.tables import sellout
+from ..functions.yearweek import yearweek_int
+from ..sources.tables import sellout, weekly_lines
 from . import params as P
 from .common import clean_sellout, parameter_table
-from .registry import PARAMS_SQL, query, with_sellout
+from .registry import PARAMS_SQL, query, with_lines, with_sellout
 
 KEYS = ["regionid", "product"]
 _KEY_SQL = "regionid || '_' || product"
@@ -181,15 +182,82 @@ def agg_nested_dispersion(spark, sf_dir):
                     report("dispersion").alias("dispersion"))
 
 
+@query("agg_nested_chunks", oracle=with_lines(f"""
+, g AS (SELECT regionid, product, count(*) AS size, avg(qty) AS average,
+               stddev_samp(qty) AS stddev, {_DISP_SQL} AS dispersion FROM lines GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY regionid, product
+        ORDER BY CAST(yearweek AS INTEGER), yearweek, qty) - 1 AS idx FROM lines)
+SELECT {_KEY_SQL} AS keycol, idx // {P.CHUNK_ROWS} AS chunk, idx % {P.CHUNK_ROWS} AS pos, yearweek, qty,
+       size, round(average, 6) AS average, round(stddev, 6) AS stddev, round(dispersion, 6) AS dispersion
+FROM r JOIN g USING (regionid, product)
+"""))
+def agg_nested_chunks(spark, sf_dir):
+    """AGG-7/8/9 on the raw rows: a key's records in lists of bounded length (flattened for
+    checking)."""
+    stats = ("size", "average", "stddev", "dispersion")
+    n = G.nested_chunks(weekly_lines(spark, sf_dir), KEYS, ["yearweek", "qty"],
+                        [yearweek_int("yearweek"), "yearweek", "qty"], P.CHUNK_ROWS, stats)
+    rows = n.select(G.key_column().alias("keycol"), "chunk", "records", "size",
+                    *[report(s).alias(s) for s in stats[1:]])
+    return G.flatten(rows, ["keycol", "chunk", *stats])
+
+
+_FOLD_SQL = f"""
+SELECT {_KEY_SQL} AS keycol, sum(v) AS total, count(*) AS factors,
+       count(*) FILTER (WHERE v = 0) AS zeros, count(*) FILTER (WHERE v < 0) AS negatives,
+       round(sum(CASE WHEN v <> 0 THEN ln(abs(v)) ELSE 0 END), 6) AS ln_magnitude,
+       CASE WHEN bool_or(v = 0) THEN 0 WHEN count(*) FILTER (WHERE v < 0) % 2 = 1 THEN -1 ELSE 1 END AS sign,
+       round(CASE WHEN count(*) FILTER (WHERE v = 0) = (CASE WHEN first = 0 THEN 1 ELSE 0 END) AND first <> 0
+                  THEN 2 * ln(abs(first)) - sum(CASE WHEN v <> 0 THEN ln(abs(v)) ELSE 0 END) END, 6) AS ln_ratio
+FROM (SELECT *, qty - {P.FOLD_BASE} AS v, first_value(qty - {P.FOLD_BASE}) OVER (
+        PARTITION BY regionid, product ORDER BY CAST(yearweek AS INTEGER), yearweek, qty) AS first FROM sellout)
+GROUP BY regionid, product, first
+"""
+
+
+@query("agg_fold", oracle=with_sellout(_FOLD_SQL))
+def agg_fold(spark, sf_dir):
+    """AGG-14: sum, product and ratio of every group's quantities, less a base so that there
+    are zeros and negative factors."""
+    rows = sellout(spark, sf_dir).withColumn("v", F.col("qty") - P.FOLD_BASE)
+    folded = G.fold_groups(rows, KEYS, "v", [yearweek_int("yearweek"), "yearweek"])
+    return folded.select(
+        G.key_column().alias("keycol"), F.col("folded_sum").alias("total"), "factors", "zeros", "negatives",
+        report("ln_magnitude").alias("ln_magnitude"),
+        F.when(F.col("zeros") > 0, 0).when(F.col("negatives") % 2 == 1, -1).otherwise(1).alias("sign"),
+        report("ln_ratio").alias("ln_ratio"))
+
+
 @query("agg_param_lists", oracle=f"""
 WITH params AS ({PARAMS_SQL})
-SELECT param_category, param_name, count(*) AS n_values,
-       array_to_string(list_sort(list(param_value)), ',') AS param_values
-FROM params WHERE use_yn = 'Y' GROUP BY 1, 2
+, r AS (
+SELECT *, (row_number() OVER (PARTITION BY param_category, param_name ORDER BY param_value) - 1)
+          // {P.CHUNK_ROWS} AS chunk FROM params WHERE use_yn = 'Y')
+SELECT param_category, param_name, chunk, count(*) AS n_values,
+       string_agg(param_value, ',' ORDER BY param_value) AS param_values
+FROM r GROUP BY 1, 2, 3
 """)
 def agg_param_lists(spark, sf_dir):
-    """AGG-12: active parameter values collected per (category, name), sorted."""
+    """AGG-12: active parameter values collected per (category, name), sorted, in lists of
+    bounded length."""
     p = parameter_table(spark, sf_dir).filter(F.col("use_yn") == "Y")
-    return p.groupBy("param_category", "param_name").agg(
-        F.count(F.lit(1)).alias("n_values"),
-        F.array_join(F.sort_array(F.collect_list("param_value")), ",").alias("param_values"))
+    n = G.nested_chunks(p, ["param_category", "param_name"], ["param_value"], ["param_value"],
+                        P.CHUNK_ROWS)
+    return n.select("param_category", "param_name", "chunk",
+                    F.size("records").cast("bigint").alias("n_values"),
+                    F.array_join("records.param_value", ",").alias("param_values"))
+
+
+@query("agg_param_lookup", oracle=f"""
+WITH params AS ({PARAMS_SQL})
+SELECT CAST(max(CASE WHEN param_name = 'VALID_WEEK' THEN param_value END) AS INTEGER) AS valid_week,
+       CAST(max(CASE WHEN param_name = 'VALID_YEAR' THEN param_value END) AS INTEGER) AS valid_year,
+       CAST(NULL AS INTEGER) AS missing, 2 AS n_values
+FROM params WHERE use_yn = 'Y'
+""")
+def agg_param_lookup(spark, sf_dir):
+    """AGG-12: scalar parameters as a one-row map, read by name."""
+    found = C.parameter_lookup(parameter_table(spark, sf_dir), ("VALID_WEEK", "VALID_YEAR", "OTHER"))
+    value = lambda name, out: F.try_element_at("values", F.lit(name)).alias(out)
+    return found.select(value("VALID_WEEK", "valid_week"), value("VALID_YEAR", "valid_year"),
+                        value("OTHER", "missing"), F.size("values").alias("n_values"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.rounding import report
+from ..operators import numbering as N
 from ..operators import reshape as R
 from ..operators import seasonality as S
 from ..operators.joins import materialize
@@ -17,6 +18,15 @@ def srt_yearweek(spark, sf_dir):
     """SRT-1: global ascending sort by yearweek (ties by region, product)."""
     return R.sort_total(sellout(spark, sf_dir), "yearweek", "regionid", "product")
 
+@query("srt_position", oracle=with_sellout("""
+SELECT row_number() OVER (ORDER BY yearweek, regionid, product) - 1 AS pos,
+       regionid, product, yearweek, qty FROM sellout
+"""))
+def srt_position(spark, sf_dir):
+    """SRT-1 with the order shown: every row's place in the global sort."""
+    return N.with_position(sellout(spark, sf_dir), "yearweek", "regionid", "product").select(
+        "pos", "regionid", "product", "yearweek", "qty")
+
 @query("srt_topk", oracle=with_sellout(f"""
 SELECT regionid, product, yearweek, qty FROM sellout
 ORDER BY qty DESC, regionid, product, yearweek LIMIT {P.TOP_K}

@@ -14,6 +14,9 @@ SQL_BAD_WEEK = 52
 ORDER = 17
 ODD_ORDER = 5
 EVEN_ORDER = 4
+LONG_ORDER = 338  # longer than some series
+CHUNK_ROWS = 100
+FOLD_BASE = 7
 SPLIT_YEARWEEK = 200026
 YEARWEEK_FROM = "199801"
 YEARWEEK_TO = "200052"

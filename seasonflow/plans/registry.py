@@ -47,6 +47,19 @@ JOIN part ON l_partkey = p_partkey
 GROUP BY 1, 2, 3
 """
 
+# The raw rows behind it: one per line item.
+LINES_SQL = """
+SELECT r_name AS regionid, p_type AS product,
+       CAST(isoyear(o_orderdate) * 100 + week(o_orderdate) AS VARCHAR) AS yearweek,
+       l_quantity AS qty
+FROM lineitem
+JOIN orders ON l_orderkey = o_orderkey
+JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey
+JOIN region ON n_regionkey = r_regionkey
+JOIN part ON l_partkey = p_partkey
+"""
+
 # Cleaned fact used by most reference jobs: weeks <= 52, quantity capped.
 CLEAN_SQL = """
 SELECT regionid, product, yearweek,
@@ -66,6 +79,11 @@ UNION ALL SELECT 'COMMON', 'VALID_YEAR', '2000', 'Y'
 """
 
 
+def with_lines(body: str) -> str:
+    """Prefix ``body`` with the ``lines`` CTE."""
+    return f"WITH lines AS ({LINES_SQL})\n" + body.strip()
+
+
 def with_sellout(body: str, clean: bool = False) -> str:
     """Prefix ``body`` with the ``sellout`` (and optionally ``clean``) CTEs."""
     ctes = f"sellout AS ({SELLOUT_SQL})"

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from ..functions.rounding import report
 from ..functions.yearweek import week_text
 from ..operators import seasonality as S
-from ..sources.tables import sellout
+from ..sources.tables import sellout, weekly_lines
 from . import params as P
 from .common import clean_sellout
-from .registry import query, with_sellout
+from .registry import query, with_lines, with_sellout
 
 _ORDER_BY = "ORDER BY CAST(yearweek AS INTEGER), yearweek, qty"
 _W = f"PARTITION BY regionid, product {_ORDER_BY}"
@@ -125,3 +125,43 @@ def win_row_index(spark, sf_dir):
     """Row index inside each (region, product) series ordered by yearweek (WIN-4, SRT-2)."""
     return clean_sellout(spark, sf_dir).select(
         "regionid", "product", "yearweek", "qty", S.row_index().alias("idx"))
+
+
+@query("win_ma_blocked", oracle=with_lines(f"""
+SELECT regionid, product, yearweek, qty, row_number() OVER w - 1 AS idx,
+       round(avg(qty) OVER (w ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING), 6) AS ma,
+       round(qty / avg(qty) OVER (w ROWS BETWEEN 8 PRECEDING AND 8 FOLLOWING), 6) AS ratio
+FROM lines WINDOW w AS ({_W})
+"""))
+def win_ma_blocked(spark, sf_dir):
+    """WIN-4/5/7/8 on the raw rows: series of any length in blocks with halos."""
+    rows = S.moving_average_blocked(weekly_lines(spark, sf_dir), order=P.ORDER)
+    return S.seasonal_ratio(rows).select("regionid", "product", "yearweek", "qty", "idx",
+                                         report("ma").alias("ma"), report("ratio").alias("ratio"))
+
+
+@query("win_ma_blocked_even", oracle=with_lines(f"""
+, w AS (
+  SELECT regionid, product, yearweek, qty, row_number() OVER w - 1 AS idx,
+         count(*) OVER (PARTITION BY regionid, product) AS n,
+         avg(qty) OVER (w ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS full_ma,
+         avg(qty) OVER (w ROWS BETWEEN 2 PRECEDING AND 1 FOLLOWING) AS lo_ma,
+         avg(qty) OVER (w ROWS BETWEEN 1 PRECEDING AND 2 FOLLOWING) AS hi_ma
+  FROM lines WINDOW w AS ({_W}))
+SELECT regionid, product, yearweek, qty, idx,
+       round(CASE WHEN idx >= 2 AND idx <= n - 3 THEN (lo_ma + hi_ma) / 2.0 ELSE full_ma END, 6) AS ma
+FROM w
+"""))
+def win_ma_blocked_even(spark, sf_dir):
+    """WIN-6/7 on the raw rows: the even order, whose edges need the series' length."""
+    rows = S.moving_average_blocked(weekly_lines(spark, sf_dir), order=P.EVEN_ORDER)
+    return rows.select("regionid", "product", "yearweek", "qty", "idx", report("ma").alias("ma"))
+
+
+@query("win_precondition", oracle=with_sellout(f"""
+SELECT regionid, product, count(*) AS n, count(*) >= {P.LONG_ORDER} AS accepted
+FROM clean GROUP BY regionid, product
+""", clean=True))
+def win_precondition(spark, sf_dir):
+    """WIN-9: series that are long enough for a moving average, and those that are not."""
+    return S.precondition(clean_sellout(spark, sf_dir), P.LONG_ORDER)[0]

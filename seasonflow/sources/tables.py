@@ -51,8 +51,9 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def _small(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Size | None:
-    """Measured size of a base table's columns, once per session and folder."""
-    return measure_once(table(spark, sf_dir, name, *columns), sf_dir, name, columns)
+    """Measured size of a base table's columns, once per session and state of its files."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    return measure_once(table(spark, sf_dir, name, *columns), path, columns)
 
 
 def customer_region(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, bool]:
@@ -133,6 +134,13 @@ def sellout(spark: SparkSession, sf_dir: str,
             .agg(F.sum("l_quantity").alias("qty")))
 
 
+def weekly_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows behind the sell-out, one per line item: (regionid, product, yearweek,
+    qty) with repeated weeks."""
+    return _weekly_lines(spark, sf_dir, "l_quantity").select(
+        "regionid", "product", "yearweek", F.col("l_quantity").alias("qty"))
+
+
 def weekly_features(spark: SparkSession, sf_dir: str,
                     weeks: tuple[str | None, str | None] = (None, None)) -> DataFrame:
     """Sell-out plus ``pro_percent`` (mean line discount), the forecast input's shape.

@@ -7,6 +7,7 @@ whole output through one task and should be used only for small reports.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MODES = ("overwrite", "append", "error", "ignore")
 
@@ -28,6 +29,24 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
     return path
 
 
+def append_batch(df: DataFrame, path: str, batch_id: str, fmt: str = "parquet",
+                 batch: str = "batch", **options) -> str:
+    """SNK-7: append a batch so that sending it again does no harm.
+
+    The batch is a partition folder of its own (``batch=<id>``) that a retry replaces
+    (dynamic partition overwrite), where a plain append would double its rows. Other
+    batches are not touched. Readers see the id as the column ``batch``, or drop it.
+    """
+    if batch in df.columns:
+        raise ValueError(f"the rows have a column {batch!r} already")
+    w = (df.withColumn(batch, F.lit(batch_id)).write.mode("overwrite").format(fmt)
+         .option("partitionOverwriteMode", "dynamic").partitionBy(batch))
+    for k, v in options.items():
+        w = w.option(k, v)
+    w.save(path)
+    return path
+
+
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One line per row of a single string column."""
     df.write.mode(_check_mode(mode)).text(path)

@@ -256,3 +256,14 @@ def test_recommended_conf_sizes_partitions():
     assert conf["spark.sql.shuffle.partitions"] == "81920"
     assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert recommended_conf(shuffle_partitions=8)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_parameter_lookup_is_one_bounded_row(spark):
+    rows = [("COMMON", "VALID_WEEK", "53", "Y"), ("COMMON", "VALID_WEEK", "50", "Y"),
+            ("COMMON", "VALID_WEEK", "1", "N"), ("COMMON", "VALID_YEAR", "bad", "Y"),
+            ("OTHER", "VALID_YEAR", "1999", "Y"), (None, "VALID_YEAR", None, None)]
+    rows += [("COMMON", "VALID_PRODUCT", str(i), "Y") for i in range(500)]
+    params = spark.createDataFrame(
+        rows, "param_category string, param_name string, param_value string, use_yn string")
+    assert C.parameter_lookup(params, ("VALID_WEEK", "VALID_YEAR")).collect() == [({"VALID_WEEK": 50},)]
+    assert C.parameter_lookup(params.limit(0), ("VALID_WEEK",)).collect() == [({},)]

@@ -4,6 +4,7 @@
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from seasonflow.functions.schemas import SELLOUT_SCHEMA
@@ -115,3 +116,19 @@ def test_parquet_partitioned_output_prunes_on_read(spark, scratch):
     back = readers.read_parquet(spark, p).filter(F.col("REGIONID") == "AFRICA")
     assert "PartitionFilters: [isnotnull(REGIONID" in plan_text(back)
     assert back.count() == idx.filter(F.col("REGIONID") == "AFRICA").count() > 0
+
+
+def test_append_batch_may_be_sent_again(spark, scratch):
+    from seasonflow.sources.writers import append_batch
+
+    path = os.path.join(scratch, "appended")
+    rows = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "n int, t string")
+    for batch_id in ("b1", "b2", "b1"):
+        append_batch(rows, path, batch_id)
+    got = spark.read.parquet(path)
+    assert sorted((r.batch, r.n) for r in got.collect()) == [
+        ("b1", 1), ("b1", 2), ("b1", 2), ("b2", 1), ("b2", 2), ("b2", 2)]
+    append_batch(rows.limit(0), path, "b3")  # an empty batch adds nothing
+    assert spark.read.parquet(path).count() == 6
+    with pytest.raises(ValueError):
+        append_batch(rows.withColumnRenamed("n", "batch"), path, "b4")

@@ -72,3 +72,35 @@ def test_long_table_written_over_jdbc(spark, split):
     back = readers.read_jdbc(spark, url, "DT_RESULT_FINAL", driver=driver)
     counts = {r["MEASURE"]: r["n"] for r in back.groupBy("MEASURE").count().withColumnRenamed("count", "n").collect()}
     assert counts == {"REAL-QTY": test.count(), "PREDICTION-QTY": test.count()}
+
+
+@pytest.mark.parametrize("kind,params", [("decision_tree", {}), ("random_forest", {"numTrees": 5}),
+                                         ("decision_tree", {"maxDepth": 0})])
+def test_walking_the_node_table_gives_the_predictions(spark, split, kind, params):
+    train, test = split
+    model = M.fit(train, kind, **params)
+    fitted = model.stages[-1]
+    nodes = M.tree_nodes(model)
+    trees = getattr(fitted, "trees", [fitted])
+    assert nodes.count() == sum(t.numNodes for t in trees)
+    walked = M.walk(nodes, test, max(t.depth for t in trees))
+    order = ["regionid", "product", "yearweek"]
+    got = [r.prediction for r in walked.orderBy(*order).collect()]
+    expected = [r.prediction for r in model.transform(test).orderBy(*order).collect()]
+    assert got == pytest.approx(expected, rel=1e-12) and len(got) > 10
+
+
+def test_node_table_of_a_tree(spark, split):
+    nodes = {r.node: r for r in M.tree_nodes(M.fit(split[0], "decision_tree")).collect()}
+    inner = [r for r in nodes.values() if r.feature is not None]
+    assert inner and all(r.feature in M.FEATURES and r.gain > 0 for r in inner)
+    for r in inner:
+        assert r.rows == nodes[r.left].rows + nodes[r.right].rows
+    assert all(r.left is r.right is r.threshold is r.gain is None
+               for r in nodes.values() if r.feature is None)
+
+
+def test_exact_bins_cover_every_value(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 0.0), (2.0, 1.0, 0.0), (3.0, 1.0, None)],
+                               "week double, pro_percent double, holidaycode double")
+    assert M.exact_bins(df) == 4

@@ -209,3 +209,18 @@ def test_sorted_results_are_sorted(spark):
     got = [tuple(r) for r in QUERIES["ml_lr"](spark, SF_SMALL).select(
         "yearweek", "regionid", "product").collect()]
     assert got == sorted(got) and len(got) > 10
+
+
+def test_a_table_that_changes_is_measured_again(spark, scratch):
+    import os
+
+    from seasonflow.operators.joins import measure_once
+
+    path = os.path.join(scratch, "grows")
+    spark.range(5).write.parquet(path)
+    read = lambda: spark.read.parquet(path)
+    assert measure_once(read(), path, "t").rows == 5
+    spark.range(7).write.mode("append").parquet(path)
+    assert measure_once(read(), path, "t").rows == 12
+    spark.range(300_000).write.mode("overwrite").parquet(path)
+    assert measure_once(read(), path, "t") is None
