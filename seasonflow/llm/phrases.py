@@ -1,22 +1,17 @@
 """Phrase collocations by top-order marginalisation.
 
 Only the longest windows are counted: every word leads one window of ``order`` columns,
-the word itself and the words that follow it in its piece, padded with nulls at the
-piece's end. A shorter phrase occurs once for every window that it begins, so its count
-is the sum over the windows with that prefix, and Spark's ROLLUP over
-``(lang, w1 .. w_order)`` gives the counts of all lengths, and the number of words, from
-that one table. No n-gram of a lower order is ever taken from a text.
-
-Words travel as 64-bit ids (XXH64 of language and word), so windows are rows of longs. The
-spelling is looked up at the end for the words of frequent phrases; two spellings of one
-id would show there, and the count is then repeated under another seed, so results are
-exact.
-
-Scale. Tasks sum equal windows before they are shuffled, so a frequent window is one row
-per task and chunk. The windows are dealt by their first ``order - 1`` words; windows and
-prefixes under ``min_count``, which can be neither candidates nor parts of one, are folded
-into the next shorter prefix there, so that the ROLLUP, whose result is partially summed
-in every task, moves frequent phrases and words only.
+the word itself and the words that follow it in its piece, padded where the piece ends. A
+shorter phrase occurs once for every window that it begins, so its count is the sum over the
+windows with that prefix: no n-gram of a lower order is ever taken from a text. The sums over
+the longest prefixes are made where the windows are counted, and Spark's ROLLUP sums those of
+all shorter ones, down to the number of words of a language.
+
+Scale. Tasks sum equal windows before they are shuffled, so a frequent window is one row per
+task and chunk. A window travels as its words, joined by spaces and without padding, which is
+about a third of the bytes of as many columns. Windows are dealt by their prefix, so that
+those under ``min_count``, which can be neither candidates nor parts of one, end there: one
+row per prefix goes on, and the ROLLUP, partially summed in every task, moves words only.
 """
 
 from __future__ import annotations
@@ -25,17 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.joins import fits, lookup_join, measure
-from .common import discard, written
+from .common import written
 
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 UNKNOWN = "und"
-SEEDS = 8
-MAX_IDS = 2_000_000  # ids of frequent words that are broadcast; beyond, they are joined
 _CHUNK = 4 << 20  # bytes of text whose windows are counted at once
 _PIECE_TABLE = bytes(10 if b in PIECE_ENDS else 32 if b == 9 else b for b in range(256))
 
@@ -67,13 +59,6 @@ def encoded_words(chunk: bytes) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return found.indices.to_numpy(), found.dictionary, piece
 
 
-def word_ids(lang: str, found: pa.Array, seed: int) -> np.ndarray:
-    """XXH64 of language and word as a signed long."""
-    head, h = lang.encode() + b"\0", xxhash.xxh64_intdigest
-    return np.fromiter((h(head + w, seed) for w in found.to_pylist()), np.uint64,
-                       len(found)).view(np.int64)
-
-
 def _by_language(batches: Iterator[pa.RecordBatch], size: int = _CHUNK) -> Iterator[tuple[str, bytes]]:
     """Chunks of joined texts, each of one language; at most about twice ``size`` bytes are
     held, or one piece that is longer."""
@@ -90,19 +75,10 @@ def _by_language(batches: Iterator[pa.RecordBatch], size: int = _CHUNK) -> Itera
     yield from ((key, b"\n".join(parts)) for key, parts in held.items())
 
 
-def _columns(order: int) -> list[str]:
-    return [f"w{i}" for i in range(1, order + 1)]
-
-
-def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit(UNKNOWN)).alias("lang"),
-                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"))
-
-
-def windows(texts: DataFrame, order: int, seed: int) -> DataFrame:
-    """Rows (lang, w1 .. w_order, c): padded windows of ids with a chunk's count of them. The
-    same window may have several rows, their ``c`` add up."""
-    names = _columns(order)
+def windows(docs: DataFrame, order: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Rows (lang, phrase, c): windows of up to ``order`` words, joined by spaces, with a
+    chunk's count of them. The same window may have several rows, their ``c`` add up."""
+    names = [f"w{i}" for i in range(order)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, chunk in _by_language(batches):
@@ -111,110 +87,101 @@ def windows(texts: DataFrame, order: int, seed: int) -> DataFrame:
             lead = [pa.array(codes)]
             for i in range(1, order):
                 follows = np.zeros(n, bool)
-                follows[:n - i] = piece[i:] == piece[:n - i]
                 shifted = np.zeros(n, codes.dtype)
-                shifted[:n - i] = codes[i:]
+                if i < n:
+                    follows[:n - i] = piece[i:] == piece[:n - i]
+                    shifted[:n - i] = codes[i:]
                 lead.append(pa.array(shifted, mask=~follows))
             summed = pa.table(lead, names).group_by(names, use_threads=False).aggregate(
-                [([], "count_all")])
-            ids = pa.array(word_ids(lang, found, seed))
-            key = pa.array([xxhash.xxh64_intdigest(lang.encode(), seed)], pa.uint64()).view(pa.int64())
-            yield from pa.table(
-                [key.take(pa.array(np.zeros(len(summed), np.int8))),
-                 *(ids.take(summed[w].combine_chunks()) for w in names),
-                 summed["count_all"]], ["lang", *names, "c"]).to_batches(100_000)
-
-    return texts.mapInArrow(count, ", ".join(f"{c} long" for c in ("lang", *names, "c")))
-
-
-def spellings(texts: DataFrame, seed: int) -> DataFrame:
-    """Rows (id, lang, word): the distinct words of every chunk."""
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, chunk in _by_language(batches):
-            found = encoded_words(chunk)[1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(word_ids(lang, found, seed)), pa.array([lang] * len(found), pa.string()),
-                 found.cast(pa.binary()).cast(pa.string())], ["id", "lang", "word"])
-
-    return texts.mapInArrow(spell, "id long, lang string, word string")
-
-
-def phrase_counts(texts: DataFrame, order: int, min_count: int, seed: int) -> DataFrame:
-    """Rows (lang, words, n_words, f): ids and number of occurrences of every phrase of up to
-    ``order`` words with at least ``min_count`` of them, and of all words (no words)."""
-    w = _columns(order)
-    # One long stands for the prefix, so that sorting by it is cheap. Two prefixes of the same
-    # hash only make the fold below keep a rare one.
-    dealt = (windows(texts, order, seed).withColumn("prefix", F.xxhash64("lang", *w[:-1]))
-             .repartition("prefix"))
-    counted = dealt.groupBy("prefix", "lang", *w).agg(F.sum("c").alias("c"))
-    # Fold what is rare: the last word of a rare window, then that of a rare prefix, all of
-    # whose windows are in this partition.
-    folded = (counted.withColumn("t", F.sum("c").over(Window.partitionBy("prefix")))
-              .withColumn(w[-1], F.when(F.col("c") >= min_count, F.col(w[-1])))
-              .withColumn(w[-2], F.when(F.col("t") >= min_count, F.col(w[-2]))))
-    rolled = folded.rollup("lang", *w).agg(F.sum("c").alias("f"), F.grouping_id().alias("gid"))
-    n_words = F.lit(order) - F.bit_count("gid")
-    last = F.coalesce(*[F.when(n_words == i, F.col(w[i - 1])) for i in range(1, order + 1)])
-    return (rolled.where((n_words == 0) | (n_words > 0) & last.isNotNull() & (F.col("f") >= min_count))
-            .select("lang", F.array_compact(F.array(*w)).alias("words"),
-                    n_words.cast("int").alias("n_words"), "f"))
-
-
-def vocabulary(texts: DataFrame, counts: DataFrame, seed: int) -> DataFrame | None:
-    """Rows (id, lang, word) of all words in ``counts``; None if two of them, or two
-    languages, share an id."""
-    known = counts.where("n_words = 1").select("lang", F.col("words")[0].alias("id"))
-    needed = written(known.select("id"), "needed")
-    small = fits(measure(needed, MAX_IDS))
-    found = (lookup_join(spellings(texts, seed), needed, "id", "left_semi", small)
-             .groupBy("id").agg(F.min(F.struct("lang", "word")).alias("low"),
-                                F.max(F.struct("lang", "word")).alias("high")))
-    spelt = written(found, "spelt")
-    discard(needed)
-    langs = (known.withColumnRenamed("lang", "key").join(spelt, "id").groupBy("key")
-             .agg(F.min("low.lang").alias("low"), F.max("high.lang").alias("high")))
-    if not spelt.where("low <> high").isEmpty() or not langs.where("low <> high").isEmpty():
-        discard(spelt)
-        return None
-    return spelt.select("id", "low.lang", "low.word")
+                [([], "count_all")]).combine_chunks()
+            for low in range(0, len(summed), 100_000):
+                part = summed.slice(low, 100_000)
+                parts = [found.take(part[w].combine_chunks()).cast(pa.binary()) for w in names]
+                phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()),
+                                                     null_handling="skip")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(part), pa.string()), phrase.cast(pa.string()),
+                     part["count_all"].combine_chunks()], ["lang", "phrase", "c"])
+
+    texts = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit(UNKNOWN)).alias("lang"),
+                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"))
+    return texts.mapInArrow(count, "lang string, phrase string, c long")
+
+
+def _first_words(phrase: str, n: int) -> Column:
+    return F.substring_index(phrase, " ", n) if n else F.lit("")
+
+
+def _n_words(phrase: str) -> Column:
+    return F.size(F.split(phrase, " "))
+
+
+def phrase_counts(docs: DataFrame, order: int, min_count: int, **cols) -> DataFrame:
+    """Rows (lang, phrase, n_words, f): the number of occurrences of every phrase of up to
+    ``order`` words with at least ``min_count`` of them, and of all words (null phrase)."""
+    dealt = F.xxhash64("lang", _first_words("phrase", order - 1))
+    counted = (windows(docs, order, **cols).repartition(dealt).select("*", dealt.alias("deal"))
+               .groupBy("deal", "lang", "phrase").agg(F.sum("c").alias("c"))
+               .withColumn("prefix", _first_words("phrase", order - 1)))
+    # The hash comes first, so that rows sort by one long; equal prefixes are then adjacent.
+    same = Window.partitionBy("deal", "lang", "prefix").orderBy("phrase")
+    every = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    summed = (counted.withColumn("t", F.sum("c").over(every))
+              .withColumn("head", F.row_number().over(same) == 1)
+              .where(F.col("head") | (F.col("c") >= min_count)))
+    full = F.col("c") >= min_count
+    table = written(summed.select(
+        "lang", F.when(full & (_n_words("phrase") == order), F.col("phrase")).alias("phrase"), "c",
+        F.when(F.col("head") & (F.col("t") >= min_count) & (_n_words("prefix") == order - 1),
+               F.col("prefix")).alias("prefix"),
+        F.when(F.col("head"), F.col("t")).alias("t"),
+        *[F.get(F.split("prefix", " "), F.lit(i)).alias(f"w{i}") for i in range(order - 2)]), "windows")
+    longest = table.where("phrase IS NOT NULL").select("lang", "phrase", F.col("c").alias("f"))
+    prefixes = table.where("prefix IS NOT NULL").select("lang", F.col("prefix").alias("phrase"),
+                                                        F.col("t").alias("f"))
+    words = [f"w{i}" for i in range(order - 2)]
+    rolled = (table.where("t IS NOT NULL").rollup("lang", *words)
+              .agg(F.sum("t").alias("f"), F.grouping_id().alias("gid")))
+    n_words = F.lit(order - 2) - F.bit_count("gid")
+    whole = F.size(F.array_compact(F.array(*words))) == n_words if words else F.lit(True)
+    shorter = (rolled.where((n_words == 0) | (n_words > 0) & whole & (F.col("f") >= min_count))
+               .select("lang", F.when(n_words > 0, F.concat_ws(" ", *words)).alias("phrase"), "f"))
+    return (longest.unionByName(prefixes).unionByName(shorter)
+            .select("lang", "phrase", F.coalesce(_n_words("phrase"), F.lit(0)).alias("n_words"), "f"))
 
 
 def scored(counts: DataFrame) -> DataFrame:
     """Candidates (phrases of two words or more) of :func:`phrase_counts` with their lowest
-    scoring cut: rows (lang, words, a, l, r, n, score), words as ids."""
+    scoring cut: rows (lang, phrase, a, l, r, n, score)."""
     n = counts.where("n_words = 0").select("lang", F.col("f").alias("n"))
-    known = counts.where("n_words > 0").select("lang", "words", "f")
+    known = counts.where("n_words > 0").select("lang", "phrase", "f")
     cuts = (counts.where("n_words > 1")
-            .select("lang", "words", F.col("f").alias("a"), "n_words",
+            .select("lang", "phrase", F.col("f").alias("a"), "n_words",
                     F.explode(F.expr("sequence(1, n_words - 1)")).alias("k"))
-            .select("lang", "words", "a", "k", F.slice("words", F.lit(1), F.col("k")).alias("left"),
-                    F.slice("words", F.col("k") + 1, F.col("n_words") - F.col("k")).alias("right")))
-    both = (cuts.join(known.select("lang", F.col("words").alias("left"), F.col("f").alias("l")),
-                      ["lang", "left"])
-            .join(known.select("lang", F.col("words").alias("right"), F.col("f").alias("r")),
-                  ["lang", "right"]))
+            .select("lang", "phrase", "a", "k", F.expr("substring_index(phrase, ' ', k)").alias("left"),
+                    F.expr("substring_index(phrase, ' ', k - n_words)").alias("right")))
+    both = (cuts.join(known.toDF("lang", "left", "l"), ["lang", "left"])
+            .join(known.toDF("lang", "right", "r"), ["lang", "right"]))
     # Products of counts pass 64 bits: decimals of scale 0 are exact up to 38 digits.
     score = F.expr("(1000000BD * (cast(a as decimal(15)) * cast(a as decimal(15))))"
                    " div (cast(l as decimal(15)) * cast(r as decimal(15)))")
-    best = (both.withColumn("score", score).groupBy("lang", "words", "a")
+    best = (both.withColumn("score", score).groupBy("lang", "phrase", "a")
             .agg(F.min(F.struct("score", "k", "l", "r")).alias("cut")))
-    return best.join(n, "lang").select("lang", "words", "a", "cut.l", "cut.r", "n", "cut.score")
+    return best.join(n, "lang").select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
 def absorbed(counts: DataFrame, share: int) -> DataFrame:
-    """(lang, words) of candidates contained in a longer candidate that has at least
+    """(lang, phrase) of candidates contained in a longer candidate that has at least
     ``share`` percent of their occurrences."""
-    longer = counts.where("n_words > 2").select("lang", F.col("words").alias("all"), "n_words",
+    longer = counts.where("n_words > 2").select("lang", F.split("phrase", " ").alias("words"), "n_words",
                                                 F.col("f").alias("f_longer"))
     inner = (longer.select("*", F.explode(F.expr("sequence(2, n_words - 1)")).alias("m"))
              .select("*", F.explode(F.expr("sequence(1, n_words - m + 1)")).alias("at"))
-             .groupBy("lang", F.slice("all", F.col("at"), F.col("m")).alias("words"))
+             .groupBy("lang", F.array_join(F.slice("words", F.col("at"), F.col("m")), " ").alias("phrase"))
              .agg(F.max("f_longer").alias("f_longer")))
-    own = counts.where("n_words > 1").select("lang", "words", "f")
-    return (inner.join(own, ["lang", "words"])
-            .where(100 * F.col("f_longer") >= F.lit(share) * F.col("f")).select("lang", "words"))
+    own = counts.where("n_words > 1").select("lang", "phrase", "f")
+    return (inner.join(own, ["lang", "phrase"])
+            .where(100 * F.col("f_longer") >= F.lit(share) * F.col("f")).select("lang", "phrase"))
 
 
 def collocations(docs: DataFrame, order: int = 3, min_count: int = 10, share: int = 50,
@@ -234,25 +201,9 @@ def collocations(docs: DataFrame, order: int = 3, min_count: int = 10, share: in
     """
     if order < 2:
         raise ValueError("order must be at least 2")
-    texts = _texts(docs, text_col, lang_col)
-    for seed in range(SEEDS):
-        counts = written(phrase_counts(texts, order, min_count, seed), "phrases")
-        spelt = vocabulary(texts, counts, seed)
-        if spelt is not None:
-            break
-        discard(counts)
-    else:
-        raise RuntimeError("words share ids under every seed")
-    rows = scored(counts).join(absorbed(counts, share), ["lang", "words"], "left_anti")
-    spelling = []
-    for i in range(order):
-        word = spelt.select(F.col("id").alias(f"id{i}"), F.col("lang").alias(f"lang{i}"),
-                            F.col("word").alias(f"word{i}"))
-        rows = (rows.withColumn(f"id{i}", F.get("words", F.lit(i)))
-                .join(word, f"id{i}", "inner" if i < 2 else "left"))
-        spelling.append(f"word{i}")
-    rows = rows.select(F.col("lang0").alias("lang"), F.concat_ws(" ", *spelling).alias("phrase"),
-                       "a", "l", "r", "n", "score")
+    counts = written(phrase_counts(docs, order, min_count, text_col=text_col, lang_col=lang_col),
+                     "phrases")
+    rows = scored(counts).join(absorbed(counts, share), ["lang", "phrase"], "left_anti")
     if top is None:
         return rows
     # Ranked in two steps: no task sees all phrases of a language.
