@@ -46,6 +46,15 @@ def column_index(df: DataFrame, name: str, case_insensitive: bool = False) -> in
     return cols.index(key) if key in cols else -1
 
 
+def by_ordinal(df: DataFrame, *ordinals: int) -> DataFrame:
+    """PRJ-14/15: project the columns at the given ordinals; -1, a name that is absent, is an
+    error before any job runs."""
+    absent = [i for i in ordinals if not 0 <= i < len(df.columns)]
+    if absent:
+        raise ValueError(f"no column at {absent}; have {df.columns}")
+    return df.select(*[F.col(f"`{df.columns[i]}`") for i in ordinals])
+
+
 def require_columns(df: DataFrame, *names: str, case_insensitive: bool = True) -> DataFrame:
     """Fail early when a required column is missing."""
     missing = [n for n in names if column_index(df, n, case_insensitive) < 0]

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.schemas import CLEANED_SELLOUT_SCHEMA, impose_schema, positional
+from ..functions.schemas import (
+    CLEANED_SELLOUT_SCHEMA, by_ordinal, column_index, impose_schema, positional,
+)
 from ..functions.yearweek import yearweek_range
 from ..operators import cleaning as C
 from ..operators import enrich as E
@@ -140,6 +142,19 @@ def prj_positional(spark, sf_dir):
     return positional(_sql_filter(spark, sf_dir), "regionid", "product")
 
 
+@query("prj_by_ordinal", oracle=with_sellout("""
+SELECT regionid, qty, 0 AS regionid_at, 3 AS qty_at, -1 AS exact_at FROM sellout
+"""))
+def prj_by_ordinal(spark, sf_dir):
+    """PRJ-14/15: columns looked up by name, exactly and without regard to case, and projected
+    by their ordinals."""
+    df = _base(sellout(spark, sf_dir))
+    at = {name: column_index(df, name.upper(), True) for name in ("regionid", "qty")}
+    exact = column_index(df, "QTY")
+    return by_ordinal(df, *at.values()).select(
+        "*", *[F.lit(i).alias(f"{name}_at") for name, i in at.items()], F.lit(exact).alias("exact_at"))
+
+
 @query("prj_final_schema", oracle=with_sellout(_RAW_SQL + f"""
 SELECT keycol AS KEY, accountid AS REGIONID, product AS PRODUCT, yearweek AS YEARWEEK,
        qty AS VOLUME, productname AS PRODUCTNAME
