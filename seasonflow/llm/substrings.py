@@ -39,12 +39,13 @@ WORDS = 35
 ROUNDS = 5
 #: Symbols of at least so many words make better anchors.
 LONG = 6
-#: Words that are recompressed at once; a longer text is taken alone.
-CHUNK_WORDS = 200_000
+#: Bytes of texts that are recompressed at once; a longer text is taken alone.
+CHUNK_BYTES = 1 << 20
 SEED = 42
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 _MASK = (1 << 64) - 1
+_IN_WORD = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -58,13 +59,20 @@ def _name(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
     return _mix(_mix(a + np.uint64(salt * 0xD1B54A32D192ED03 & _MASK)) + b * _A + np.uint64(salt))
 
 
-def word_hashes(docs: list[list[bytes]]) -> np.ndarray:
-    """XXH64 of all words of some documents, in a row."""
-    known: dict = {}
-    ids = np.fromiter((known.setdefault(w, len(known)) for d in docs for w in d), np.int64,
-                      sum(map(len, docs)))
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of all words of some texts, in a row, and the number of words of each text."""
+    raw = np.frombuffer(b"\n".join(texts), np.uint8)
+    inside = _IN_WORD[raw]
+    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+        None, pa.py_buffer(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)),
+        pa.py_buffer(raw[inside])]).dictionary_encode()
     h = xxhash.xxh64_intdigest
-    return np.fromiter((h(w, SEED) for w in known), np.uint64, len(known))[ids]
+    known = np.fromiter((h(w, SEED) for w in words.dictionary.to_pylist()), np.uint64,
+                        len(words.dictionary))
+    begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    return known[words.indices.to_numpy()], np.diff(np.searchsorted(starts, begins))
 
 
 class Level:
@@ -188,25 +196,23 @@ _BASE1, _BASE2 = 0xD1342543DE82EF95, 0x2545F4914F6CDD1D
 
 
 def _chunks(batch: pa.RecordBatch):
-    """(row numbers, their words) of some rows of a batch at a time."""
-    rows, docs, n = [], [], 0
-    for i, text in enumerate(batch.column("text")):
-        tokens = (text.as_py() or b"").split()
+    """(row numbers, their texts) of some rows of a batch at a time."""
+    rows, texts, n = [], [], 0
+    for i, text in enumerate(batch.column("text").to_pylist()):
         rows.append(i)
-        docs.append(tokens)
-        n += len(tokens)
-        if n >= CHUNK_WORDS:
-            yield rows, docs
-            rows, docs, n = [], [], 0
+        texts.append(text or b"")
+        n += len(texts[-1])
+        if n >= CHUNK_BYTES:
+            yield rows, texts
+            rows, texts, n = [], [], 0
     if rows:
-        yield rows, docs
+        yield rows, texts
 
 
-def _bounds(docs: list[list[bytes]]):
+def _bounds(sizes: np.ndarray):
     """For each word: where its document begins and ends, and the document's number."""
-    sizes = np.array([len(d) for d in docs], np.int64)
     ends = np.cumsum(sizes)
-    doc = np.repeat(np.arange(len(docs)), sizes)
+    doc = np.repeat(np.arange(len(sizes)), sizes)
     return (ends - sizes)[doc], ends[doc], doc
 
 
@@ -214,14 +220,12 @@ def _spans(width: int):
     def run(batches):
         for batch in batches:
             rid = batch.column("rid").to_numpy()
-            for rows, docs in _chunks(batch):
-                keep = [k for k, d in enumerate(docs) if len(d) >= width]
-                if not keep:
+            for rows, texts in _chunks(batch):
+                own = rid[np.array(rows)]
+                words, sizes = word_hashes(texts)
+                if sizes.max(initial=0) < width:
                     continue
-                docs = [docs[k] for k in keep]
-                own = rid[np.array(rows)[keep]]
-                words = word_hashes(docs)
-                first, last, doc = _bounds(docs)
+                first, last, doc = _bounds(sizes)
                 starts, name, place = anchors(words, first, last, width)
                 new = np.ones(len(starts), bool)  # windows of one anchor symbol are a span
                 new[1:] = ((place[1:] != place[:-1]) | (name[1:] != name[:-1])
@@ -246,8 +250,7 @@ def _windows(width: int):
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                tokens = batch.column("text")[i].as_py().split()
-                words = word_hashes([tokens])
+                words, _ = word_hashes([batch.column("text")[i].as_py()])
                 places = batch.column("places")[i].as_py()
                 at = np.concatenate([np.arange(p["lo"], p["lo"] + p["windows"]) for p in places])
                 yield pa.RecordBatch.from_arrays(
@@ -325,7 +328,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", width: int = WORDS,
             n, left, sums = [], [], []
             for text, spans in zip(batch.column("text"), batch.column("ranges")):
                 tokens = (text.as_py() or b"").split()
-                kept = remaining(tokens, [(s["begin"], s["end"]) for s in spans.as_py() or []])
+                gone = [(s["begin"], s["end"]) for s in spans.as_py() or []]
+                kept = remaining(tokens, gone) if gone else tokens
                 joined = b" ".join(kept)
                 n.append((len(tokens), len(tokens) - len(kept)))
                 left.append(joined.decode())

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import xxhash
 
 from conftest import SF_SMALL
 from llm_helpers import documents, no_documents, rows, words  # noqa: F401
@@ -55,13 +56,22 @@ def test_random_repeats(spark):
     assert got == dict(enumerate(brute(texts)))
 
 
+def test_word_hashes_of_awkward_texts():
+    texts = [b"", b" \t\n\x0b", b"one", "é  two\x0bone\x00x \x1f".encode(), b"", b"a b " * 50, b"one "]
+    hashes, sizes = S.word_hashes(texts)
+    assert sizes.tolist() == [len(t.split()) for t in texts]
+    assert hashes.tolist() == [xxhash.xxh64_intdigest(w, S.SEED) for t in texts for w in t.split()]
+    hashes, sizes = S.word_hashes([b""])
+    assert len(hashes) == 0 and sizes.tolist() == [0]
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(2)
     shared = rng.integers(0, 5, 300)
-    docs = [[str(x).encode() for x in np.concatenate([rng.integers(0, 5, rng.integers(0, 40)), shared,
-                                                      rng.integers(0, 5, 60)])] for _ in range(20)]
-    words_ = S.word_hashes(docs)
-    first, last, _ = S._bounds(docs)
+    docs = [b" ".join(str(x).encode() for x in np.concatenate([
+        rng.integers(0, 5, rng.integers(0, 40)), shared, rng.integers(0, 5, 60)])) for _ in range(20)]
+    words_, sizes = S.word_hashes(docs)
+    first, last, _ = S._bounds(sizes)
     for level in S.levels(words_, first, last):
         assert (np.diff(level.lo) >= 0).all() and (np.diff(level.hi) >= 0).all()
     starts, name, place = S.anchors(words_, first, last)
