@@ -79,8 +79,11 @@ def tables_made() -> Iterator[list[str]]:
 
 
 def delete(spark: SparkSession, paths: list[str]) -> None:
-    """Delete written tables that nothing will read again."""
+    """Delete written tables that nothing will read again, from the catalog too."""
     for name in paths:
+        table = name.rsplit("/", 1)[-1]
+        if "-" not in table:  # a bucketed one
+            spark.sql(f"DROP TABLE IF EXISTS `{table}`")
         path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 

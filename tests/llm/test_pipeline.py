@@ -1,9 +1,12 @@
+import os
+
 import pytest
 
 import corpus_pipeline as C
 from conftest import SF_SMALL
 from llm_helpers import documents, no_documents, rows  # noqa: F401
 from seasonflow.llm import linededup, mixing, packing, quality, simhash
+from seasonflow.session import checkpoint_dir
 from test_linededup import brute as brute_lines
 from test_quality import brute_counts
 from test_simhash import brute_fingerprint, brute_groups
@@ -62,7 +65,12 @@ def test_packing_stage_and_run(spark, stages):
     assert pieces.groupBy("sequence_id").sum("length").where(f"`sum(length)` > {packing.SEQ_LEN}").count() == 0
     total = packing.tokenized(stages[4]).agg({"doc_tokens": "sum"}).first()[0]
     assert pieces.agg({"length": "sum"}).first()[0] == total
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    tables, files = set(spark.catalog.listTables()), set(os.listdir(folder))
     again = C.run(spark, SF_SMALL)
+    left = set(os.listdir(folder)) - files
+    assert len(left) == 1 and all(left & set(f.split("/")) for f in again.inputFiles())
+    assert set(spark.catalog.listTables()) == tables
     assert again.columns == pieces.columns and again.agg({"length": "sum"}).first()[0] == total
 
 
