@@ -8,13 +8,15 @@ similarity of two shingle sets. All permutations of a text run at once in numpy.
 
 Near-duplicates: equal texts are one class. A band is ``ROWS`` consecutive positions; classes
 that agree in one of ``BANDS`` bands meet in a Spark join on the band's value, which at a
-similarity of 0.8 misses three pairs in a million. Candidates whose fingerprints estimate less
-than ``SLACK`` below the threshold (over five standard deviations) go; the Jaccard similarity
-of the real shingle sets decides on all others.
-
-A bucket is not paired out: its classes are compared with its first class, and after that
-only those outside the bucket's largest group so far with the classes of other groups. Where
-more than ``CROWD`` are outside, a pair must agree in a second band too.
+similarity of 0.8 misses three pairs in a million. Only pairs leave that join whose sketches
+(four bits of every position, compared as longs) agree in no less than ``SLACK`` below the
+threshold, six standard deviations; the Jaccard similarity of the real shingle sets decides.
+
+A bucket is not paired out, for many documents may share a passage, meet, and be unlike: its
+classes are compared with its first class. Only classes of a bucket that is then more than
+one group go on, to an exact prefix join: their shingles are put in one order, those of common
+passages last, and two sets of that similarity must meet among the first fifth of either, early
+enough for the rest to make up the overlap. Documents that share nothing but a passage do not.
 """
 
 from __future__ import annotations
@@ -37,7 +39,8 @@ PERMUTATIONS = 128
 ROWS = 4
 BANDS = 24
 SLACK = 0.2
-CROWD = 64
+SAMPLE = 8  # one in so many open classes tells which shingles are common
+MAX_COMMON = 1_000_000  # shingles that are put last in the order; it decides speed only
 MAX_LOOKUP = 2_000_000  # rows of a lookup side that is broadcast, if its bytes fit too
 _CHUNK = 1 << 12  # shingles whose images are held at once
 _RNG = np.random.default_rng(42)
@@ -51,24 +54,24 @@ def text_words(text: bytes) -> list[bytes]:
 
 
 def shingle_hashes(found: list[bytes], shingle: int) -> np.ndarray:
-    """32-bit hashes of all runs of ``shingle`` words; of the whole sequence when there are
+    """64-bit hashes of all runs of ``shingle`` words; of the whole sequence when there are
     fewer, and nothing when there are none."""
     h = xxhash.xxh64_intdigest
     each = np.fromiter((h(w) for w in found), np.uint64, len(found))
     run = min(shingle, len(each))
     if not run:
-        return np.array([], np.uint32)
+        return np.array([], np.uint64)
     mixed = np.zeros(len(each) - run + 1, np.uint64)
     for i in range(run):  # the position enters, so order counts
         mixed = (mixed ^ each[i:len(each) - run + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
         mixed ^= mixed >> np.uint64(29)
-    return (mixed >> np.uint64(32)).astype(np.uint32)
+    return mixed
 
 
 def signature(text: bytes, shingle: int = 5) -> bytes:
     """The fingerprint: ``PERMUTATIONS`` little-endian 16-bit numbers, all ones for a text
     without words."""
-    hashes = shingle_hashes(text_words(text), shingle)
+    hashes = (shingle_hashes(text_words(text), shingle) >> np.uint64(32)).astype(np.uint32)
     low = np.full(PERMUTATIONS, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(hashes), _CHUNK):
         images = hashes[i:i + _CHUNK, None] * _A + _B
@@ -210,24 +213,38 @@ def band_keys(mark: str = "print") -> Column:
                      for k in range(BANDS)])
 
 
-@F.pandas_udf("double")
-def _estimate(a: pd.Series, b: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype=float)
-    x, y = (np.frombuffer(b"".join(s), "<u2").reshape(len(s), PERMUTATIONS) for s in (a, b))
-    return pd.Series((x == y).mean(axis=1))
+def sketch(mark: Column) -> Column:
+    """The low four bits of every position of a fingerprint, as an array of longs."""
+
+    @F.pandas_udf("array<long>")
+    def of(marks: pd.Series) -> pd.Series:
+        lanes = np.frombuffer(b"".join(marks), "<u2").reshape(len(marks), PERMUTATIONS // 16, 16)
+        shifts = np.arange(0, 64, 4, dtype=np.uint64)
+        packed = ((lanes.astype(np.uint64) & np.uint64(15)) << shifts).sum(axis=2, dtype=np.uint64)
+        return pd.Series(list(packed.view(np.int64)))
+
+    return of(mark)
+
+
+def close(a: str, b: str, threshold: float) -> Column:
+    """Whether the sketches under ``a`` and ``b`` agree in the ``threshold`` less ``SLACK``."""
+    apart = F.lit(0)
+    for i in range(PERMUTATIONS // 16):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        for by in (1, 2):  # any bit of a nibble moves to its lowest
+            x = x.bitwiseOR(F.shiftrightunsigned(x, by))
+        apart = apart + F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
+    return apart <= int(PERMUTATIONS * (1 - threshold + SLACK))
 
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, threshold: float,
              shingle: int) -> DataFrame:
     """The ``pairs`` (a, b) of class numbers whose texts have a Jaccard similarity of at least
     ``threshold``. ``texts`` are all texts (digest, text), of which the candidates' are read."""
-    side = classes.select("node", "digest", "print")
-    near = written(
-        pairs.join(side.toDF("a", "digest_a", "print_a"), "a")
-        .join(side.toDF("b", "digest_b", "print_b"), "b")
-        .where(_estimate("print_a", "print_b") >= threshold - SLACK)
-        .select("a", "b", "digest_a", "digest_b"), "near")
+    side = classes.select("node", "digest", "sketch")
+    x, y = side.toDF("a", "digest_a", "sketch_a"), side.toDF("b", "digest_b", "sketch_b")
+    near = written(pairs.join(x, "a").join(y, "b").where(close("sketch_a", "sketch_b", threshold))
+                   .select("a", "b", "digest_a", "digest_b"), "near")
     needed = written(near.select(F.explode(F.array("digest_a", "digest_b")).alias("digest"))
                      .distinct(), "needed")
     bodies = written(
@@ -247,8 +264,78 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, threshold:
     return links
 
 
+def _shingles(texts: DataFrame, shingle: int) -> DataFrame:
+    """Rows (sh): the distinct shingles of every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text"):
+                found = np.unique(shingle_hashes(text_words(text.as_py()), shingle))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["sh"])
+
+    return texts.select("text").mapInArrow(run, "sh long")
+
+
+def _prefixes(texts: DataFrame, common: np.ndarray, threshold: float, shingle: int) -> DataFrame:
+    """Rows (node, component, n, pos, sh): the first shingles of every text (node, component,
+    text) in the common order, as many as any similar text must share one of."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = zip(*(batch.column(c).to_pylist() for c in ("node", "component", "text")))
+            for node, component, text in columns:
+                found = np.unique(shingle_hashes(text_words(text), shingle))
+                n = len(found)
+                at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+                late = common[at] == found if len(common) else np.zeros(n, bool)
+                found = np.concatenate([found[~late], found[late]])
+                found = found[:n - int(np.ceil(threshold * n - 1e-9)) + 1]
+                k = len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(k, node, np.int64)), pa.array(np.full(k, component, np.int64)),
+                     pa.array(np.full(k, n, np.int32)), pa.array(np.arange(k, dtype=np.int32)),
+                     pa.array(found.view(np.int64))], ["node", "component", "n", "pos", "sh"])
+
+    return texts.select("node", "component", "text").mapInArrow(
+        run, "node long, component long, n int, pos int, sh long")
+
+
+def prefix_pairs(open_: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
+    """Pairs (a, b) of ``open_`` classes (node, component, digest) of different components whose
+    shingle sets may have the similarity ``threshold``; all that have it are among them."""
+    wanted = open_.select("digest")
+    bodies = written(
+        lookup_join(texts, wanted, "digest", "left_semi", fits(measure(wanted, MAX_LOOKUP)))
+        .groupBy("digest").agg(F.first("text").alias("text"))
+        .join(open_, "digest").select("node", "component", "text"), "open_texts")
+    some = bodies.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE).cast("long")) == 0)
+    often = (_shingles(some, shingle).groupBy("sh").agg(F.count("*").alias("n")).where("n > 2")
+             .orderBy(F.desc("n"), "sh").limit(MAX_COMMON).select("sh").toPandas()["sh"])
+    common = np.sort(often.to_numpy(np.int64).view(np.uint64))
+    rows = written(_prefixes(bodies, common, threshold, shingle), "prefixes")
+    # Shingles of one component only are left out; of the others the largest component is
+    # not compared with itself.
+    mixed = (rows.groupBy("sh", "component").agg(F.count("*").alias("n"))
+             .groupBy("sh").agg(F.count("*").alias("parts"), F.max_by("component", "n").alias("main"))
+             .where("parts > 1").select("sh", "main"))
+    held = written(rows.join(mixed, "sh"), "held")
+    x, y = held.where("component <> main").alias("x"), held.alias("y")
+    overlap = F.ceil((F.col("x.n") + F.col("y.n")) * (threshold / (1 + threshold)) - 1e-9)
+    left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    pairs = written(
+        x.join(y, (F.col("x.sh") == F.col("y.sh")) & (F.col("x.component") != F.col("y.component"))
+               & ((F.col("x.node") < F.col("y.node")) | (F.col("y.component") == F.col("y.main")))
+               & (left >= overlap))
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .distinct(), "prefix_pairs")
+    for table in (bodies, rows, held):
+        discard(table)
+    return pairs
+
+
 def link_groups(classes: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
-    """Rows (node, component) for the ``classes`` (node, digest, print) that have a link."""
+    """Rows (node, component) for the ``classes`` (node, digest, print, sketch) that have a
+    link."""
     keyed = classes.select("node", F.explode(band_keys()).alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low"))
     dense = written(keyed.join(buckets.where("n > 1"), "key").select("key", "node", "low"), "dense")
@@ -257,31 +344,15 @@ def link_groups(classes: DataFrame, texts: DataFrame, threshold: float, shingle:
     known = written(components(links), "known")
     tagged = written(dense.drop("low").join(known, "node", "left")
                      .withColumn("component", F.coalesce("component", "node")), "tagged")
-    parts = tagged.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = written(
-        parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"),
-                                 F.sum("n").alias("n"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .select("key", F.col("top.component").alias("main"),
-                (F.col("n") - F.col("top.n") > CROWD).alias("crowded")), "mixed")
-    rows = written(tagged.join(mixed, "key"), "rows")
-    loose = rows.where("not crowded")
-    # In a crowded bucket a second band is asked for: the bucket splits by all other bands.
-    again = (rows.where("crowded").join(classes.select("node", band_keys().alias("keys")), "node")
-             .select("node", "component", "main", "key",
-                     F.explode(F.filter("keys", lambda k: k != F.col("key"))).alias("other"))
-             .withColumn("key", F.xxhash64("key", "other")))
-    cols = ["key", "node", "component", "main"]
-    every = loose.select(*cols).unionByName(again.select(*cols))
-    x, y = every.where("component <> main").alias("x"), every.alias("y")
-    rest = (x.join(y, (F.col("x.key") == F.col("y.key"))
-                   & (F.col("x.component") != F.col("y.component"))
-                   & ((F.col("x.node") < F.col("y.node")) | (F.col("y.component") == F.col("y.main"))))
-            .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    parts = tagged.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = written(tagged.join(parts.where("low <> high").select("key"), "key", "left_semi")
+                    .select("node", "component").distinct().join(classes.select("node", "digest"), "node"),
+                    "open")
+    rest = prefix_pairs(open_, texts, threshold, shingle)
     more = verified(rest, classes, texts, threshold, shingle)
     out = written(components(known.select(F.col("node").alias("a"), F.col("component").alias("b"))
                              .unionByName(more)), "groups")
-    for table in (dense, links, known, tagged, mixed, rows, more):
+    for table in (dense, links, known, tagged, open_, more):
         discard(table)
     return out
 
@@ -291,7 +362,8 @@ def grouped(prints: DataFrame, texts: DataFrame, threshold: float = 0.8, shingle
     near-duplicate group. ``texts`` are the texts (digest, text) behind them."""
     classes = written(
         prints.groupBy("digest").agg(F.first("print").alias("print"), F.min("id").alias("first"))
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "print", "first"), "classes")
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "print",
+                sketch(F.col("print")).alias("sketch"), "first"), "classes")
     groups = link_groups(classes, texts, threshold, shingle)
     named = (classes.select("node", "digest", "first").join(groups, "node", "left")
              .withColumn("component", F.coalesce("component", "node")))
