@@ -155,17 +155,10 @@ def link_groups(fps: DataFrame, radius: int = 3) -> DataFrame:
     return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    shingle: int = 3, radius: int = 3, keep: list[str] | None = None) -> DataFrame:
-    """Every row of ``docs`` with its fingerprint and group: the columns ``keep`` (default
-    all) under ``doc``, ``rid`` (a row number), ``fp`` (long), ``group_fp`` (the group's
-    smallest fingerprint) and ``component_id``, the smallest id reachable by links.
-
-    Null and empty texts have fingerprint zero and are linked like any other. Null ids
-    are passed over: a group without any id has a null ``component_id``. Repeated rows
-    are rows of one group. An empty table gives an empty result. Columns of any other
-    name stay inside ``doc`` and cannot clash.
-    """
+def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+             radius: int = 3, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Written tables: the rows (doc, id, rid, fp) and the groups of their fingerprints (fp,
+    group_fp, component_id)."""
     hashed = written(
         docs.select(under("doc", docs, keep), F.col(f"`{id_col}`").alias("id"),
                     F.col(f"`{text_col}`").alias("text"))
@@ -177,13 +170,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .withColumn("group_fp", F.coalesce("component", "fp")))
     ids = named.groupBy("group_fp").agg(F.min("first").alias("component_id"))
     by_fp = written(named.join(ids, "group_fp").select("fp", "group_fp", "component_id"), "by_fp")
+    return hashed, by_fp
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """Every row of ``docs`` with its fingerprint and group: the columns ``keep`` (default
+    all) under ``doc``, ``rid`` (a row number), ``fp`` (long), ``group_fp`` (the group's
+    smallest fingerprint) and ``component_id``, the smallest id reachable by links.
+
+    Options: ``text_col``, ``shingle`` (words), ``radius`` (bits) and ``keep``. Null and empty
+    texts have fingerprint zero and are linked like any other. Null ids
+    are passed over: a group without any id has a null ``component_id``. Repeated rows
+    are rows of one group. An empty table gives an empty result. Columns of any other
+    name stay inside ``doc`` and cannot clash.
+    """
+    hashed, by_fp = _grouped(docs, id_col, **options)
     return hashed.join(by_fp, "fp")
 
 
 def first_of_groups(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest id,
-    null ids last; of several rows with that id, the first as read."""
-    rows = near_duplicates(docs, id_col, **options)
+    null ids last; of several rows with that id, the first as read.
+
+    The rows that stay are found by their numbers alone; texts are moved once, to meet them."""
+    hashed, by_fp = _grouped(docs, id_col, **options)
     rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")
-    best = rows.groupBy("group_fp").agg(F.min(rank).alias("best")).select("best.rid")
-    return rows.join(best, "rid", "left_semi").select("doc.*")
+    best = (hashed.select("id", "rid", "fp").join(by_fp.select("fp", "group_fp"), "fp")
+            .groupBy("group_fp").agg(F.min(rank).alias("best")).select("best.rid"))
+    return hashed.select("doc", "rid").join(best, "rid", "left_semi").select("doc.*")

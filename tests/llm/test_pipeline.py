@@ -66,11 +66,11 @@ def test_packing_stage_and_run(spark, stages):
     total = packing.tokenized(stages[4]).agg({"doc_tokens": "sum"}).first()[0]
     assert pieces.agg({"length": "sum"}).first()[0] == total
     folder = checkpoint_dir(spark).removeprefix("file:")
-    tables, files = set(spark.catalog.listTables()), set(os.listdir(folder))
+    tables, files = {t.name for t in spark.catalog.listTables()}, set(os.listdir(folder))
     again = C.run(spark, SF_SMALL)
     left = set(os.listdir(folder)) - files
     assert len(left) == 1 and all(left & set(f.split("/")) for f in again.inputFiles())
-    assert set(spark.catalog.listTables()) == tables
+    assert {t.name for t in spark.catalog.listTables()} == tables
     assert again.columns == pieces.columns and again.agg({"length": "sum"}).first()[0] == total
 
 

@@ -88,3 +88,17 @@ def test_one_of_each_group_stays(documents, rows, no_documents):
     assert len(kept) == len(set(group.values()))
     assert not {101, 102, 104, 105} & set(kept) and {0, 100, None} <= set(kept)
     assert simhash.first_of_groups(no_documents).count() == 0
+
+
+def test_texts_meet_only_the_rows_that_stay(spark):
+    """Rows that stay are found by their numbers: the columns of documents are in one join."""
+    df = spark.createDataFrame([(2, "a b c d"), (1, "a b c d"), (None, "a b c d"), (3, "x y z w v")],
+                               "doc_id long, text string")
+    out = simhash.first_of_groups(df, shingle=3, radius=3)
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3]
+    joins, above = [], []  # of every scan of the documents' columns, how many joins are above it
+    for line in out._jdf.queryExecution().sparkPlan().toString().split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-"))
+        joins = [d for d in joins if d < depth] + [depth] * ("Join " in line)
+        above += [len(joins)] * ("FileScan parquet [doc#" in line)
+    assert above == [1]
