@@ -8,8 +8,8 @@ the longest prefixes are made where the windows are counted, and Spark's ROLLUP
 all shorter ones, down to the number of words of a language.
 
 Scale. Tasks sum equal windows before they are shuffled, so a frequent window is one row per
-task and chunk. A window travels as its words, joined by spaces and without padding, which is
-about a third of the bytes of as many columns. Windows are dealt by their prefix, so that
+task and chunk. A window travels as its prefix, joined by spaces and without padding, and its
+last word, so no task cuts strings to find prefixes. Windows are dealt by their prefix, so that
 those under ``min_count``, which can be neither candidates nor parts of one, end there: one
 row per prefix goes on, and the ROLLUP, partially summed in every task, moves words only.
 """
@@ -76,8 +76,9 @@ def _by_language(batches: Iterator[pa.RecordBatch], size: int = _CHUNK) -> Itera
 
 
 def windows(docs: DataFrame, order: int, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Rows (lang, phrase, c): windows of up to ``order`` words, joined by spaces, with a
-    chunk's count of them. The same window may have several rows, their ``c`` add up."""
+    """Rows (lang, prefix, last, c): windows of up to ``order`` words with a chunk's count of
+    them: the first ``order - 1`` words, joined by spaces, and the last word, null in a shorter
+    window. The same window may have several rows, their ``c`` add up."""
     names = [f"w{i}" for i in range(order)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,19 +98,21 @@ def windows(docs: DataFrame, order: int, text_col: str = "text", lang_col: str =
             for low in range(0, len(summed), 100_000):
                 part = summed.slice(low, 100_000)
                 parts = [found.take(part[w].combine_chunks()).cast(pa.binary()) for w in names]
-                phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary()),
+                prefix = pc.binary_join_element_wise(*parts[:-1], pa.scalar(b" ", pa.binary()),
                                                      null_handling="skip")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(part), pa.string()), phrase.cast(pa.string()),
-                     part["count_all"].combine_chunks()], ["lang", "phrase", "c"])
+                    [pa.array([lang] * len(part), pa.string()), prefix.cast(pa.string()),
+                     parts[-1].cast(pa.string()), part["count_all"].combine_chunks()],
+                    ["lang", "prefix", "last", "c"])
 
     texts = docs.select(F.coalesce(F.col(f"`{lang_col}`"), F.lit(UNKNOWN)).alias("lang"),
                         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"))
-    return texts.mapInArrow(count, "lang string, phrase string, c long")
+    return texts.mapInArrow(count, "lang string, prefix string, last string, c long")
 
 
-def _first_words(phrase: str, n: int) -> Column:
-    return F.substring_index(phrase, " ", n) if n else F.lit("")
+def _word(phrase: str, i: int) -> Column:
+    """The i-th word of a phrase, null where it has fewer."""
+    return F.get(F.split(phrase, " "), F.lit(i)) if i else F.substring_index(phrase, " ", 1)
 
 
 def _n_words(phrase: str) -> Column:
@@ -119,29 +122,30 @@ def _n_words(phrase: str) -> Column:
 def phrase_counts(docs: DataFrame, order: int, min_count: int, **cols) -> DataFrame:
     """Rows (lang, phrase, n_words, f): the number of occurrences of every phrase of up to
     ``order`` words with at least ``min_count`` of them, and of all words (null phrase)."""
-    dealt = F.xxhash64("lang", _first_words("phrase", order - 1))
+    dealt = F.xxhash64("lang", "prefix")
     counted = (windows(docs, order, **cols).repartition(dealt).select("*", dealt.alias("deal"))
-               .groupBy("deal", "lang", "phrase").agg(F.sum("c").alias("c"))
-               .withColumn("prefix", _first_words("phrase", order - 1)))
-    # The hash comes first, so that rows sort by one long; equal prefixes are then adjacent.
-    same = Window.partitionBy("deal", "lang", "prefix").orderBy("phrase")
+               .groupBy("deal", "lang", "prefix", "last").agg(F.sum("c").alias("c")))
+    # The hash comes first, so that rows sort by one long; equal prefixes are then adjacent, in
+    # any order, as it does not matter which of its windows carries the prefix's sum.
+    same = Window.partitionBy("deal", "lang", "prefix").orderBy("deal")
     every = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     summed = (counted.withColumn("t", F.sum("c").over(every))
               .withColumn("head", F.row_number().over(same) == 1)
               .where(F.col("head") | (F.col("c") >= min_count)))
-    full = F.col("c") >= min_count
+    full = (F.col("c") >= min_count) & F.col("last").isNotNull()
     table = written(summed.select(
-        "lang", F.when(full & (_n_words("phrase") == order), F.col("phrase")).alias("phrase"), "c",
+        "lang", F.when(full, F.concat_ws(" ", "prefix", "last")).alias("phrase"), "c",
         F.when(F.col("head") & (F.col("t") >= min_count) & (_n_words("prefix") == order - 1),
                F.col("prefix")).alias("prefix"),
         F.when(F.col("head"), F.col("t")).alias("t"),
-        *[F.get(F.split("prefix", " "), F.lit(i)).alias(f"w{i}") for i in range(order - 2)]), "windows")
+        *[_word("prefix", i).alias(f"w{i}") for i in range(order - 2)]), "windows")
     longest = table.where("phrase IS NOT NULL").select("lang", "phrase", F.col("c").alias("f"))
     prefixes = table.where("prefix IS NOT NULL").select("lang", F.col("prefix").alias("phrase"),
                                                         F.col("t").alias("f"))
     words = [f"w{i}" for i in range(order - 2)]
-    rolled = (table.where("t IS NOT NULL").rollup("lang", *words)
-              .agg(F.sum("t").alias("f"), F.grouping_id().alias("gid")))
+    # summed before the ROLLUP, which takes every row once for each of its levels
+    rolled = (table.where("t IS NOT NULL").groupBy("lang", *words).agg(F.sum("t").alias("t"))
+              .rollup("lang", *words).agg(F.sum("t").alias("f"), F.grouping_id().alias("gid")))
     n_words = F.lit(order - 2) - F.bit_count("gid")
     whole = F.size(F.array_compact(F.array(*words))) == n_words if words else F.lit(True)
     shorter = (rolled.where((n_words == 0) | (n_words > 0) & whole & (F.col("f") >= min_count))
