@@ -17,6 +17,8 @@ classes are compared with its first class. Only classes of a bucket that is then
 one group go on, to an exact prefix join: their shingles are put in one order, those of common
 passages last, and two sets of that similarity must meet among the first fifth of either, early
 enough for the rest to make up the overlap. Documents that share nothing but a passage do not.
+Parities of the sets, which differ in no more bits than the sets in shingles, tell most of the
+others apart in that join.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ ROWS = 4
 BANDS = 24
 SLACK = 0.2
 SAMPLE = 8  # one in so many open classes tells which shingles are common
+PARITY = 512  # bits of the parities of a shingle set
 MAX_COMMON = 1_000_000  # shingles that are put last in the order; it decides speed only
 MAX_LOOKUP = 2_000_000  # rows of a lookup side that is broadcast, if its bytes fit too
 _CHUNK = 1 << 12  # shingles whose images are held at once
@@ -276,9 +279,18 @@ def _shingles(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("text").mapInArrow(run, "sh long")
 
 
+def parities(hashes: np.ndarray) -> list[int]:
+    """For each of PARITY classes of hashes whether the set has an odd number of them, as bits
+    of longs. Each element that only one of two sets has changes one bit, so two sets differ in
+    at least as many elements as their parities in bits."""
+    odd = np.bincount((hashes % np.uint64(PARITY)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def _prefixes(texts: DataFrame, common: np.ndarray, threshold: float, shingle: int) -> DataFrame:
-    """Rows (node, component, n, pos, sh): the first shingles of every text (node, component,
-    text) in the common order, as many as any similar text must share one of."""
+    """Rows (node, component, n, pos, sh, odd): the first shingles of every text (node, component,
+    text) in the common order, as many as any similar text must share one of. The first row has
+    the text's parities."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,16 +300,19 @@ def _prefixes(texts: DataFrame, common: np.ndarray, threshold: float, shingle: i
                 n = len(found)
                 at = np.minimum(np.searchsorted(common, found), len(common) - 1)
                 late = common[at] == found if len(common) else np.zeros(n, bool)
+                odd = parities(found)
                 found = np.concatenate([found[~late], found[late]])
                 found = found[:n - int(np.ceil(threshold * n - 1e-9)) + 1]
                 k = len(found)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(k, node, np.int64)), pa.array(np.full(k, component, np.int64)),
                      pa.array(np.full(k, n, np.int32)), pa.array(np.arange(k, dtype=np.int32)),
-                     pa.array(found.view(np.int64))], ["node", "component", "n", "pos", "sh"])
+                     pa.array(found.view(np.int64)),
+                     pa.array([odd, *[None] * (k - 1)][:k], pa.list_(pa.int64()))],
+                    ["node", "component", "n", "pos", "sh", "odd"])
 
     return texts.select("node", "component", "text").mapInArrow(
-        run, "node long, component long, n int, pos int, sh long")
+        run, "node long, component long, n int, pos int, sh long, odd array<long>")
 
 
 def prefix_pairs(open_: DataFrame, texts: DataFrame, threshold: float, shingle: int) -> DataFrame:
@@ -318,14 +333,17 @@ def prefix_pairs(open_: DataFrame, texts: DataFrame, threshold: float, shingle:
     mixed = (rows.groupBy("sh", "component").agg(F.count("*").alias("n"))
              .groupBy("sh").agg(F.count("*").alias("parts"), F.max_by("component", "n").alias("main"))
              .where("parts > 1").select("sh", "main"))
-    held = written(rows.join(mixed, "sh"), "held")
+    held = written(rows.drop("odd").join(mixed, "sh")
+                   .join(rows.where("pos = 0").select("node", "odd"), "node"), "held")
     x, y = held.where("component <> main").alias("x"), held.alias("y")
     overlap = F.ceil((F.col("x.n") + F.col("y.n")) * (threshold / (1 + threshold)) - 1e-9)
     left = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    apart = sum((F.bit_count(F.get("x.odd", F.lit(i)).bitwiseXOR(F.get("y.odd", F.lit(i))))
+                 for i in range(PARITY // 64)), F.lit(0))
     pairs = written(
         x.join(y, (F.col("x.sh") == F.col("y.sh")) & (F.col("x.component") != F.col("y.component"))
                & ((F.col("x.node") < F.col("y.node")) | (F.col("y.component") == F.col("y.main")))
-               & (left >= overlap))
+               & (left >= overlap) & (apart <= F.col("x.n") + F.col("y.n") - 2 * overlap))
         .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
         .distinct(), "prefix_pairs")
     for table in (bodies, rows, held):

@@ -158,3 +158,34 @@ def test_prefix_pairs_have_all_similar_ones_and_few_of_a_shared_passage(spark, m
     similar = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts))
                if minhash.jaccard(texts[i].encode(), texts[j].encode()) >= 0.8}
     assert len(similar) == 6 and similar <= got and len(got) < 60
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(6)
+    for n, only in ((0, 3), (5, 0), (300, 40), (3000, 900)):
+        both = rng.integers(0, 1 << 63, n, np.uint64)
+        a, b = (np.concatenate([both, rng.integers(0, 1 << 63, only, np.uint64)]) for _ in range(2))
+        bits = sum((x ^ y).bit_count() if x ^ y >= 0 else (64 - (~(x ^ y)).bit_count())
+                   for x, y in zip(minhash.parities(a), minhash.parities(b)))
+        assert bits <= 2 * only and (bits > 0) == (only > 0)
+
+
+def test_prefix_pairs_leave_out_texts_just_below_the_threshold(spark, monkeypatch):
+    """Near copies that share many early shingles, but not enough, are no pairs."""
+    monkeypatch.setattr(minhash, "SAMPLE", 1)
+    rng = random.Random(12)
+    base = sentence(rng, 200).split(" ")
+    texts = []
+    for _ in range(30):
+        at = set(rng.sample(range(200), 8))
+        texts.append(" ".join(f"x{rng.random()}" if i in at else w for i, w in enumerate(base)))
+    texts.append(texts[0] + " more")
+    digest = [hashlib.md5(t.encode()).digest() for t in texts]
+    rows = spark.createDataFrame([(i, i, d) for i, d in enumerate(digest)],
+                                 "node long, component long, digest binary")
+    bodies = spark.createDataFrame([(d, t.encode()) for d, t in zip(digest, texts)],
+                                   "digest binary, text binary")
+    got = {(r.a, r.b) for r in minhash.prefix_pairs(rows, bodies, 0.8, 5).collect()}
+    similar = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts))
+               if minhash.jaccard(texts[i].encode(), texts[j].encode()) >= 0.8}
+    assert (0, 30) in similar and similar <= got and len(got) < len(texts)
